@@ -25,7 +25,8 @@ def term_counts(tokens: DataFrame, vocabulary: DataFrame, block: int = BLOCK) ->
     """
     n = vocabulary.count()
     parts = max(1, -(-n // block))
-    exploded = tokens.select(F.explode("words").alias("term"))
+    # explode() would add a filter on the size of words, which splits each text twice
+    exploded = tokens.select(F.explode_outer("words").alias("term"))
     found = None
     for i in range(parts):
         some = vocabulary if parts == 1 else vocabulary.where(F.pmod(F.xxhash64("term"), F.lit(parts)) == i)
