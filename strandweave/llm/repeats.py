@@ -16,12 +16,14 @@ they are shuffled.
 
 from __future__ import annotations
 
+import itertools
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +32,10 @@ from strandweave.llm.common import stored
 WINDOW, ANCHOR = 20, 8
 #: Occurrences from which on an anchor is hot.
 HOT = 1000
+#: Bits of a text's second hash that go with each run.
+TAG = 28
+#: Anchors in a shard; the recurring ones of them are in a task's memory at once.
+SHARD = 300_000
 #: Bytes of text that are hashed at once, and segments that one automaton covers.
 BYTES, SEGMENTS = 4_000_000, 20_000
 
@@ -99,76 +105,127 @@ def _blocks(texts: list[bytes]) -> Iterator[tuple[int, int]]:
 
 
 def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per document with windows: its runs as arrays."""
+    """One row per document with windows: the hashes of its anchors, and their runs packed as (first window, number, tag)."""
     for b in batches:
         texts = [t or b"" for t in b.column("text").cast(pa.binary()).to_pylist()]
+        tags = b.column("x2").to_numpy() & (2**TAG - 1)
         for lo, hi in _blocks(texts):
-            text, *columns = anchors(texts[lo:hi])
-            own, first = np.unique(text, return_index=True)
-            offsets = pa.array(np.r_[first, len(text)].astype(np.int32))
-            kinds = (np.int64, np.int32, np.int32, np.int32)
-            lists = [
-                pa.ListArray.from_arrays(offsets, pa.array((c.view(k) if c.dtype == np.uint64 else c.astype(k))))
-                for c, k in zip((columns[0], *columns[1:]), kinds, strict=True)
-            ]
-            rows = pa.array(own + lo)
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id").take(rows), b.column("row_hash").take(rows), *lists],
-                names=["doc_id", "row_hash", "h", "place", "first", "windows"],
-            )
-
-
-def _key(doc_id: int | None, row_hash: int) -> bytes:
-    """Sorts as documents do: by doc_id, none last, and of equal ones by the hash of the text."""
-    return struct.pack(">BQQ", doc_id is None, ((doc_id or 0) + 2**63) % 2**64, row_hash % 2**64)
-
-
-def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The text around each recurring anchor; of equal texts in a task one, with the place of the first and their number."""
-    seen: dict[tuple[int, bytes, bool], list] = {}
+            text, h, _, first, windows = anchors(texts[lo:hi])
+            own, at = np.unique(text, return_index=True)
+            packed = (first << (TAG + 4)) | (windows << TAG) | tags[text + lo]
+            offsets = pa.array(np.r_[at, len(text)].astype(np.int32))
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(c)) for c in (h.view(np.int64), packed)]
+            yield pa.RecordBatch.from_arrays([b.column("x1").take(pa.array(own + lo)), *lists], names=["x1", "h", "run"])
 
-    def out() -> pa.RecordBatch:
-        rows = [(h, hash_of(text) if hot else -1, text, key, first, n) for (h, text, hot), (key, first, n) in seen.items()]
-        seen.clear()
-        kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.int64()]
-        columns = zip(*rows, strict=True) if rows else [[] for _ in kinds]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["h", "sub", "segment", "doc", "first", "n"])
 
-    def hash_of(text: bytes) -> int:
-        return int(np.frombuffer(text.ljust(-(-len(text) // 8) * 8, b"\0"), "<u8").astype(np.uint64).dot(_salt(-(-len(text) // 8), 3)) >> np.uint64(1))
+def _key(doc_id: int | None, x1: int, x2: int) -> bytes:
+    """Sorts as documents do: by doc_id, none last, and of equal ones by the hashes of the text."""
+    return struct.pack(">BQqq", doc_id is None, ((doc_id or 0) + 2**63) % 2**64, x1, x2)
 
-    def add(h: int, text: bytes, hot: bool, key: bytes, first: int) -> None:
-        old = seen.setdefault((h, text, hot), [key, first, 0])
-        old[2] += 1
-        if (key, first) < (old[0], old[1]):
-            old[:2] = key, first
 
-    size = 0
-    for b in batches:
-        for doc_id, row_hash, text, runs in zip(*(b.column(c).to_pylist() for c in ("doc_id", "row_hash", "text", "runs")), strict=True):
-            words, key = text.encode("utf-8", "surrogatepass").split(), _key(doc_id, row_hash)
-            for r in runs:
-                first, windows = r["first"], r["windows"]
-                if r["hot"]:
-                    for i in range(first, first + windows):
-                        add(r["h"], b" ".join(words[i : i + WINDOW]), True, key, i)
-                else:
-                    add(r["h"], b" ".join(words[first : first + windows + WINDOW - 1]), False, key, first)
-            size += len(text)
-            if size > 4 * BYTES:
-                yield out()
-                size = 0
-    yield out()
-
-
-def _confirm(rows: list[tuple[int, int, bytes, bytes, int, int]]) -> Iterator[tuple[bytes, int, int]]:
+def _unpacked(run: int, x2: int) -> tuple[int, int]:
+    """First window and number of windows; none if the run is of another text with the same first hash."""
+    return run >> (TAG + 4), run >> TAG & 15 if run & (2**TAG - 1) == x2 & (2**TAG - 1) else 0
+
+
+KEY = struct.calcsize(">BQqq")
+
+
+def _shards(rows: list[tuple], shards: int) -> pa.RecordBatch:
+    """Segments (h, sub, text, document, first window, occurrences) as one compressed row for each shard."""
+    squeeze = zstandard.ZstdCompressor(level=3)
+    numbers = np.array([(r[0], r[1], r[4], r[5], len(r[2])) for r in rows], dtype=np.int64).reshape(-1, 5)
+    shard = (_mix(numbers[:, 0].view(np.uint64) ^ _mix(numbers[:, 1].view(np.uint64))) % np.uint64(shards)).astype(np.int64)
+    order = np.lexsort((numbers[:, 0], shard))
+    bounds = np.flatnonzero(np.r_[True, shard[order][1:] != shard[order][:-1], True]) if len(rows) else np.zeros(1, np.int64)
+    names, blobs = [], []
+    for lo, hi in itertools.pairwise(bounds.tolist()):
+        own = order[lo:hi].tolist()
+        head = numbers[own].T.tobytes() + b"".join(rows[i][3] for i in own)
+        names.append(int(shard[own[0]]))
+        blobs.append(struct.pack("<I", len(own)) + squeeze.compress(head + b"".join(rows[i][2] for i in own)))
+    return pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(blobs, pa.binary())], names=["shard", "segments"])
+
+
+def _opened(blob: bytes) -> Iterator[tuple[int, int, bytes, bytes, int, int]]:
+    (n,) = struct.unpack_from("<I", blob)
+    data = zstandard.ZstdDecompressor().decompressobj().decompress(blob[4:])
+    h, sub, first, times, size = np.frombuffer(data, np.int64, 5 * n).reshape(5, n).tolist()
+    at = 40 * n + KEY * n
+    for i in range(n):
+        yield h[i], sub[i], data[at : at + size[i]], data[40 * n + KEY * i : 40 * n + KEY * (i + 1)], first[i], times[i]
+        at += size[i]
+
+
+def _hash_of(text: bytes) -> int:
+    words = np.frombuffer(text.ljust(-(-len(text) // 8) * 8, b"\0"), "<u8").astype(np.uint64)
+    return int(_mix(words ^ _salt(len(words), 3)).sum() >> np.uint64(1))
+
+
+def _segments(shards: int):
+    """The text around each recurring anchor; of equal texts in a task one, with the place of the first and their number."""
+
+    def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[tuple[int, bytes, bool], list] = {}
+
+        def out() -> pa.RecordBatch:
+            rows = [(h, _hash_of(text) if hot else -1, text, *v) for (h, text, hot), v in seen.items()]
+            seen.clear()
+            return _shards(rows, shards)
+
+        def add(h: int, text: bytes, hot: bool, key: bytes, first: int) -> None:
+            old = seen.get((h, text, hot))
+            if old is None:
+                seen[h, text, hot] = [key, first, 1]
+                return
+            old[2] += 1
+            if (key, first) < (old[0], old[1]):
+                old[:2] = key, first
+
+        size = 0
+        for b in batches:
+            for doc_id, x1, x2, text, runs in zip(*(b.column(c).to_pylist() for c in ("doc_id", "x1", "x2", "text", "runs")), strict=True):
+                words, key = text.encode("utf-8", "surrogatepass").split(), _key(doc_id, x1, x2)
+                for r in runs:
+                    first, windows = _unpacked(r["run"], x2)
+                    if r["hot"]:
+                        for i in range(first, first + windows):
+                            add(r["h"], b" ".join(words[i : i + WINDOW]), True, key, i)
+                    elif windows:
+                        add(r["h"], b" ".join(words[first : first + windows + WINDOW - 1]), False, key, first)
+                size += len(text)
+                if size > 8 * BYTES:
+                    yield out()
+                    size = 0
+        yield out()
+
+    return segments
+
+
+def _confirm(rows: Iterable[tuple[int, int, bytes, bytes, int, int]]) -> Iterator[tuple[bytes, int, int]]:
     """(document, first window, bits of the windows to keep there) for each distinct segment of whole anchors."""
-    merged: dict[tuple[int, bytes], list] = {}
-    for h, _, text, key, first, n in rows:
-        old = merged.setdefault((h, text), [key, first, 0])
+    anchored: dict[tuple[int, int], dict[bytes, list]] = {}
+    for h, sub, text, key, first, n in rows:
+        old = anchored.setdefault((h, sub), {}).setdefault(text, [key, first, 0])
         old[2] += n
         if (key, first) < (old[0], old[1]):
             old[:2] = key, first
+    some: list[tuple[bytes, bytes, int, int]] = []
+    for variants in anchored.values():
+        if len(variants) == 1:  # its windows stand in no other text
+            ((text, (key, first, _)),) = variants.items()
+            yield key, first, (1 << (len(text.split(b" ")) - WINDOW + 1)) - 1
+            continue
+        some += [(text, *v) for text, v in variants.items()]
+        if len(some) >= SEGMENTS:
+            yield from _stream(some)
+            some = []
+    if some:
+        yield from _stream(some)
+
+
+def _stream(segments: list[tuple[bytes, bytes, int, int]]) -> Iterator[tuple[bytes, int, int]]:
+    """Compiles the windows that recur in ``segments`` and streams all of these through the automaton."""
     codes: dict[bytes, str] = {}
 
     def code(word: bytes) -> str:
@@ -177,7 +234,7 @@ def _confirm(rows: list[tuple[int, int, bytes, bytes, int, int]]) -> Iterator[tu
             codes[word] = chr(k if k < 0xD800 else k + 0x800)  # no surrogates
         return codes[word]
 
-    coded = [("".join(map(code, text.split(b" "))), *v) for (_, text), v in merged.items()]
+    coded = [("".join(map(code, text.split(b" "))), *v) for text, *v in segments]
     found: dict[str, list] = {}
     for s, key, first, n in coded:
         for j in range(len(s) - WINDOW + 1):
@@ -201,45 +258,41 @@ def _confirm(rows: list[tuple[int, int, bytes, bytes, int, int]]) -> Iterator[tu
             yield key, first, bits
 
 
-
-
 def _located(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    rows: list[tuple] = []
+    """The windows to keep, shard by shard."""
 
-    def out(some: list[tuple]) -> pa.RecordBatch:
-        kept = list(_confirm(some))
-        ids, hashes = [], []
-        for key, _, _ in kept:
-            no_id, doc, row_hash = struct.unpack(">BQQ", key)
-            ids.append(None if no_id else doc - 2**63)
-            hashes.append(row_hash - 2**64 if row_hash >= 2**63 else row_hash)
-        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(hashes, pa.int64()), pa.array([x[1] for x in kept], pa.int32()), pa.array([x[2] for x in kept], pa.int32())], names=["doc_id", "row_hash", "first", "bits"])
+    def out(blobs: list[bytes]) -> pa.RecordBatch:
+        kept = list(_confirm(itertools.chain.from_iterable(map(_opened, blobs))))
+        docs = [struct.unpack(">BQqq", x[0]) for x in kept]
+        columns = [[d[2] for d in docs], [d[3] for d in docs], [None if d[0] else d[1] - 2**63 for d in docs], *([x[i] for x in kept] for i in (1, 2))]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["x1", "x2", "doc_id", "first", "bits"])
 
+    at, blobs = None, []
     for b in batches:
-        rows += zip(*(b.column(c).to_pylist() for c in ("h", "sub", "segment", "doc", "first", "n")), strict=True)
-        if len(rows) < SEGMENTS:
-            continue
-        last = rows[-1][:2]  # this anchor may go on
-        cut = len(rows)
-        while cut and rows[cut - 1][:2] == last:
-            cut -= 1
-        if cut:
-            yield out(rows[:cut])
-            rows = rows[cut:]
-    yield out(rows)
+        for shard, blob in zip(b.column("shard").to_pylist(), b.column("segments").to_pylist(), strict=True):
+            if shard != at and blobs:
+                yield out(blobs)
+                blobs = []
+            at = shard
+            blobs.append(blob)
+    yield out(blobs)
 
 
 def _applied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         ids, texts, sizes, removed = b.column("doc_id"), [], [], []
-        for text, runs, keeps in zip(*(b.column(c).to_pylist() for c in ("text", "runs", "keeps")), strict=True):
+        for doc_id, x2, text, runs, keeps in zip(*(b.column(c).to_pylist() for c in ("doc_id", "x2", "text", "runs", "keeps")), strict=True):
             words = (text or "").encode("utf-8", "surrogatepass").split()
             sizes.append(len(words))
             if runs:
                 gone = np.zeros(len(words) + 1, np.int32)  # windows, then words
                 for r in runs:
-                    gone[r["first"] : r["first"] + r["windows"]] = 1
+                    first, windows = _unpacked(r["run"], x2)
+                    gone[first : first + windows] = 1
                 for k in keeps or ():
+                    if (k["doc_id"], k["x2"]) != (doc_id, x2):
+                        continue
                     for j in range(k["bits"].bit_length()):
                         if k["bits"] >> j & 1:
                             gone[k["first"] + j] = 0
@@ -269,36 +322,32 @@ def dedup(docs: DataFrame) -> DataFrame:
     result; of equal doc_ids with other texts the smaller hash comes first.
     """
     keyed = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    keyed = keyed.withColumn("row_hash", F.xxhash64("text"))
-    runs = stored(
-        keyed.mapInArrow(
-            _anchored, "doc_id long, row_hash long, h array<long>, place array<int>, first array<int>, windows array<int>"
-        ).select("doc_id", "row_hash", "h", "first", "windows"),
-        "anchors",
-    )
-    each = runs.select("doc_id", "row_hash", F.inline(F.arrays_zip("h", "first", "windows")))
+    keyed = keyed.select("*", F.xxhash64("text").alias("x1"), F.xxhash64(F.lit(1), "text").alias("x2"))
+    runs = stored(keyed.select("x1", "x2", "text").mapInArrow(_anchored, "x1 long, h array<long>, run array<long>"), "anchors")
+    shards = max(1, (runs.agg(F.sum(F.size("h"))).first()[0] or 0) // SHARD)
+    each = runs.select("x1", F.inline(F.arrays_zip("h", "run")))
     recurring = (
         each.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("h").alias("r"), (F.col("n") >= HOT).alias("hot"))
     )
-    by_doc = (
+    # all that follows goes by text, so that equal texts meet in a task
+    by_text = (
         each.join(recurring, F.col("h") == F.col("r"))
-        .groupBy(F.col("doc_id").alias("d"), F.col("row_hash").alias("x"))
-        .agg(F.collect_set(F.struct("h", "first", "windows", "hot")).alias("runs"))
+        .groupBy(F.col("x1").alias("t"))
+        .agg(F.collect_set(F.struct("h", "run", "hot")).alias("runs"))
     )
-    same = lambda d, x: F.col("doc_id").eqNullSafe(F.col(d)) & (F.col("row_hash") == F.col(x))
     keeps = (
-        keyed.join(by_doc, same("d", "x"))
-        .select("doc_id", "row_hash", "text", "runs")
-        .mapInArrow(_segments, "h long, sub long, segment binary, doc binary, first int, n long")
-        .repartition("h", "sub")
-        .sortWithinPartitions("h", "sub")
-        .mapInArrow(_located, "doc_id long, row_hash long, first int, bits int")
-        .groupBy(F.col("doc_id").alias("kd"), F.col("row_hash").alias("kx"))
-        .agg(F.collect_list(F.struct("first", "bits")).alias("keeps"))
+        keyed.join(by_text, F.col("x1") == F.col("t"))
+        .select("doc_id", "x1", "x2", "text", "runs")
+        .mapInArrow(_segments(shards), "shard long, segments binary")
+        .repartition("shard")
+        .sortWithinPartitions("shard")
+        .mapInArrow(_located, "x1 long, x2 long, doc_id long, first int, bits int")
+        .groupBy(F.col("x1").alias("k"))
+        .agg(F.collect_list(F.struct("doc_id", "x2", "first", "bits")).alias("keeps"))
     )
     return (
-        keyed.join(by_doc, same("d", "x"), "left")
-        .join(keeps, same("kd", "kx"), "left")
-        .select("doc_id", "text", "runs", "keeps")
+        keyed.join(by_text, F.col("x1") == F.col("t"), "left")
+        .join(keeps, F.col("x1") == F.col("k"), "left")
+        .select("doc_id", "x2", "text", "runs", "keeps")
         .mapInArrow(_applied, "doc_id long, n_words long, n_removed long, kept string")
     )
