@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -42,7 +43,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes a stored table of which nothing more will be read."""
+    spark = df.sparkSession
+    at = spark._jvm.org.apache.hadoop.fs.Path(df._stored_at)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def collect_garbage(spark: SparkSession) -> None:
+    """Lets Spark's cleaner drop the shuffle files of plans that nothing holds any more; else they stay until the driver's next full collection."""
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def ascii_lower(text: Column) -> Column:

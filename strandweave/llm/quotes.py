@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandweave.llm.common import ascii_lower, cut
+from strandweave.llm.common import ascii_lower, cut, stored
 
 #: A line's quote marks: each > with the blanks around it is one level.
 MARKS = r"^(?:[ \t]*>)*"
@@ -50,14 +50,18 @@ def link(messages: DataFrame) -> DataFrame:
         .where("passage != ''")
         .select("conv_id", "turn", "level", *hashed)
         .distinct()
-    )
+    )
+    quoted = stored(quoted, "quoted")
     said = (
         parsed.select(F.col("conv_id").alias("c"), F.col("turn").alias("origin"), F.explode(F.expr(_PASSAGES.format("= 0"))).alias("passage"))
         .where("passage != ''")
         .select("c", "origin", *hashed)
         .groupBy("c", F.col("digest").alias("d"))
         .agg(F.min("origin").alias("origin"))
-    )
+        .join(quoted.select(F.col("conv_id").alias("qc"), F.col("digest").alias("qd")).distinct(), F.expr("c = qc and d = qd"), "left_semi")
+    )
+    # only what is quoted somewhere, and written first, so that a passage quoted often can be split in the join
+    said = stored(said, "said")
     same = (F.col("conv_id") == F.col("c")) & (F.col("digest") == F.col("d")) & (F.col("origin") < F.col("turn"))
     best = F.struct(-F.col("level"), F.col("matched"), F.col("origin"))
     return (

@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandweave.llm.common import stored
+from strandweave.llm.common import collect_garbage, discard, stored
 
 WINDOW, ANCHOR = 20, 8
 #: Occurrences from which on an anchor is hot.
@@ -325,16 +325,11 @@ def dedup(docs: DataFrame) -> DataFrame:
     keyed = keyed.select("*", F.xxhash64("text").alias("x1"), F.xxhash64(F.lit(1), "text").alias("x2"))
     runs = stored(keyed.select("x1", "x2", "text").mapInArrow(_anchored, "x1 long, h array<long>, run array<long>"), "anchors")
     shards = max(1, (runs.agg(F.sum(F.size("h"))).first()[0] or 0) // SHARD)
-    each = runs.select("x1", F.inline(F.arrays_zip("h", "run")))
-    recurring = (
-        each.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("h").alias("r"), (F.col("n") >= HOT).alias("hot"))
-    )
-    # all that follows goes by text, so that equal texts meet in a task
-    by_text = (
-        each.join(recurring, F.col("h") == F.col("r"))
-        .groupBy(F.col("x1").alias("t"))
-        .agg(F.collect_set(F.struct("h", "run", "hot")).alias("runs"))
-    )
+    # tables that stand on the other side of a join are written first: a hot anchor or text can then be split
+    recurring = stored(_recurring(runs), "recurring")
+    by_text = stored(_by_text(runs, recurring), "runs")
+    discard(runs)
+    collect_garbage(docs.sparkSession)
     keeps = (
         keyed.join(by_text, F.col("x1") == F.col("t"))
         .select("doc_id", "x1", "x2", "text", "runs")
@@ -345,9 +340,32 @@ def dedup(docs: DataFrame) -> DataFrame:
         .groupBy(F.col("x1").alias("k"))
         .agg(F.collect_list(F.struct("doc_id", "x2", "first", "bits")).alias("keeps"))
     )
+    known = stored(by_text.join(keeps, F.col("t") == F.col("k"), "left").select("t", "runs", "keeps"), "known")
+    discard(by_text)
+    del keeps
+    collect_garbage(docs.sparkSession)
     return (
-        keyed.join(by_text, F.col("x1") == F.col("t"), "left")
-        .join(keeps, F.col("x1") == F.col("k"), "left")
+        keyed.join(known, F.col("x1") == F.col("t"), "left")
         .select("doc_id", "x2", "text", "runs", "keeps")
         .mapInArrow(_applied, "doc_id long, n_words long, n_removed long, kept string")
-    )
+    )
+
+
+def _each(runs: DataFrame) -> DataFrame:
+    return runs.select("x1", F.inline(F.arrays_zip("h", "run")))
+
+
+def _recurring(runs: DataFrame) -> DataFrame:
+    """r (hash of an anchor that recurs) and hot."""
+    counts = _each(runs).groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+    return counts.where("n > 1").select(F.col("h").alias("r"), (F.col("n") >= HOT).alias("hot"))
+
+
+def _by_text(runs: DataFrame, recurring: DataFrame) -> DataFrame:
+    """t (hash of a text) and its runs around recurring anchors; all that follows goes by text, so that equal ones meet."""
+    return (
+        _each(runs)
+        .join(recurring, F.col("h") == F.col("r"))
+        .groupBy(F.col("x1").alias("t"))
+        .agg(F.collect_set(F.struct("h", "run", "hot")).alias("runs"))
+    )

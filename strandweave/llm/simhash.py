@@ -216,6 +216,7 @@ def classes(docs: DataFrame) -> DataFrame:
     by_fp = least.join(linked, F.col("fp") == F.col("node"), "left").select(
         F.col("fp").alias("f"), F.coalesce("component", "first").alias("component_id")
     )
+    by_fp = stored(by_fp, "classes")  # a fingerprint of many documents can then be split in the join
     return marked.join(by_fp, F.col("fp") == F.col("f"), "left").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandweave.llm.common import ascii_lower
+from strandweave.llm.common import ascii_lower, stored
 
 #: Verdict, host, start of the path.
 RULES = [
@@ -111,7 +111,8 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules=RULES, max_bad: float = M
     A null url or one without ``://`` has an empty host and path, and shares
     the reputation of all such pages.
     """
-    known = reputation(pages, outcomes).select(F.col("host").alias("known"), "bad_rate", "bad_at_least")
+    # written first, so that a host of many pages can be split in the join
+    known = stored(reputation(pages, outcomes).select(F.col("host").alias("known"), "bad_rate", "bad_at_least"), "hosts")
     rule, verdict = by_rule(F.col("host"), F.col("path"), rules)
     by_method = F.when(F.col("bad_at_least") > max_bad, "block").otherwise("allow")
     return (

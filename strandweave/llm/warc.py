@@ -132,7 +132,8 @@ def with_kinds(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
     payload: Column = F.encode(F.coalesce(F.col("html").cast("string"), F.lit("")), "UTF-8")
     keyed = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string").alias("url"), payload.alias("payload"))
     keyed = keyed.withColumn("digest", F.sha2("payload", 256))
-    last = keyed.groupBy(F.col("digest").alias("d")).agg(F.max("page_id").alias("last"))
+    # written first, so that a payload of many pages can be split in the join
+    last = stored(keyed.groupBy(F.col("digest").alias("d")).agg(F.max("page_id").alias("last")), "payloads")
     revisit = (F.octet_length("payload") >= least) & (F.col("page_id") < F.col("last"))
     return keyed.join(last, F.col("digest") == F.col("d")).select(
         "page_id",
