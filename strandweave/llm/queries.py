@@ -225,6 +225,57 @@ SELECT m.conv_id, coalesce(th.thread, m.turn) AS thread, m.turn, coalesce(depth,
 FROM m JOIN own USING (r) LEFT JOIN k ON m.conv_id = k.conv_id AND m.turn = k.turn LEFT JOIN th ON m.conv_id = th.conv_id AND m.turn = th.turn"""
 
 
+def _op9() -> str:
+    low, wide, n = secrets.LOW, secrets.WIDTH, secrets.SAMPLES
+    case = lambda word: "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word)
+    keys = "|".join(case(k) for k in ("password", "passwd", "secret", "token", "api_?key"))
+    assign = rf"""(?:{keys})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""".replace("'", "''")
+    # pieces between the matches tell where these lie
+    spans = lambda kind, order, pattern, rest: f"""SELECT r, {order} AS o, '{kind}' AS kind, hits[i] AS hit,
+      list_sum(list_transform(pieces[1 : i], lambda x: len(x))) + coalesce(list_sum(list_transform(hits[1 : i - 1], lambda x: len(x))), 0) AS s
+      FROM (SELECT r, hits, pieces, unnest(range(1, len(hits) + 1)) AS i FROM (
+        SELECT r, regexp_extract_all(text, '{pattern}') AS hits, regexp_split_to_array(text, '{pattern}') AS pieces FROM d WHERE regexp_matches(text, '{pattern}')))
+      WHERE {rest}"""
+    parts = _list(secrets.PARTS)
+    part = lambda k: f"({parts})[('0x' || substr(h, {k}, 4))::INT % {len(secrets.PARTS)} + 1]"
+    title = lambda x: f"(upper(substr({x}, 1, 1)) || substr({x}, 2))"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+base AS (SELECT r, o, kind, hit, s, s + len(hit) AS e FROM (
+  {spans("assign", 0, assign, f"len(regexp_extract(hits[i], '{assign}', 1)) >= {secrets.LEAST_VALUE}")}
+  UNION ALL {spans("access", 1, secrets.ACCESS, "true")}
+  UNION ALL {spans("hex", 2, secrets.HEX, "true")})),
+n AS (SELECT i, sha256(i::VARCHAR) AS h FROM range({n}) t(i)),
+m AS (SELECT i, h, rtrim(to_base64(unhex(h)), '=') AS b, {part(1)} AS a1, {part(5)} AS a2, {part(9)} AS a3, {part(13)} AS a4, ('0x' || substr(h, 60, 2))::INT AS k FROM n),
+sample AS (
+  SELECT true AS random, CASE i % 4 WHEN 0 THEN b WHEN 1 THEN substr(h, 1, 40) WHEN 2 THEN translate(b, '+/', '-_') ELSE upper(substr(regexp_replace(b, '[+/]', '', 'g'), 1, 24)) END AS x FROM m
+  UNION ALL SELECT false, CASE i % 6 WHEN 0 THEN a1 || '_' || a2 || '_' || a3 || '_' || k WHEN 1 THEN a1 || '-' || a2 || '-' || a3 || '-' || a4 || '-' || (1990 + k % 40)
+    WHEN 2 THEN a1 || {title("a2")} || {title("a3")} || {title("a4")} || k WHEN 3 THEN a1 || '/' || (1990 + k % 40) || '/' || printf('%02d', k % 12 + 1) || '/' || a2 || '/' || a3
+    WHEN 4 THEN upper(a1) || '_' || upper(a2) || '_' || upper(a3) || '_' || printf('%02d', k % 12 + 1) ELSE a1 || '-' || (1990 + k % 40) || '-' || printf('%02d', k % 12 + 1) || '-' || a2 || '=' || a3 END FROM m
+),
+pair AS (SELECT random, ascii(substr(x, j, 1)) - {low} AS a, ascii(substr(x, j + 1, 1)) - {low} AS b, count(*) AS c FROM (SELECT random, x, unnest(range(1, len(x))) AS j FROM sample) GROUP BY ALL),
+total AS (SELECT random, a, sum(c) AS c FROM pair GROUP BY random, a),
+ch AS (SELECT unnest(range({wide})) AS a), cell AS (SELECT x.a, y.a AS b FROM ch x, ch y),
+model AS (
+  SELECT cell.a, cell.b, round(ln(((coalesce(p1.c, 0) + {secrets.SMOOTHING}) / (coalesce(t1.c, 0) + {secrets.SMOOTHING * wide})) / ((coalesce(p0.c, 0) + {secrets.SMOOTHING}) / (coalesce(t0.c, 0) + {secrets.SMOOTHING * wide}))), 5) AS llr
+  FROM cell LEFT JOIN pair p1 ON p1.random AND p1.a = cell.a AND p1.b = cell.b LEFT JOIN pair p0 ON NOT p0.random AND p0.a = cell.a AND p0.b = cell.b
+    LEFT JOIN total t1 ON t1.random AND t1.a = cell.a LEFT JOIN total t0 ON NOT t0.random AND t0.a = cell.a
+),
+run AS (SELECT r, o, kind, hit, s, s + len(hit) AS e FROM ({spans("markov", 3, secrets.RUN, "regexp_matches(hits[i], '[0-9]')")})),
+free AS (SELECT * FROM run WHERE NOT EXISTS (FROM base WHERE base.r = run.r AND base.s < run.e AND base.e > run.s)),
+judged AS (
+  SELECT f.r, f.s, f.e, avg(llr) AS ratio FROM (SELECT *, unnest(range(1, len(hit))) AS j FROM free) f
+  JOIN model ON model.a = ascii(substr(hit, j, 1)) - {low} AND model.b = ascii(substr(hit, j + 1, 1)) - {low} GROUP BY f.r, f.s, f.e
+),
+found AS (SELECT r, o, kind, s, e FROM base UNION ALL SELECT r, 3, 'markov', s, e FROM judged WHERE ratio > {secrets.LEAST_RATIO}),
+g AS (
+  SELECT r, count(*) FILTER (o = 0) AS n_assign, count(*) FILTER (o = 1) AS n_access, count(*) FILTER (o = 2) AS n_hex,
+    string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, o) FILTER (o < 3) AS base, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, o) AS spans FROM found GROUP BY r
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN g USING (r)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_license_scan": _op1(),
@@ -233,4 +284,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_url_filter": _op4(),
         "op5_warc_bundles": _op5(),
         "op8_quote_linking": _op8(),
+        "op9_secret_scan": _op9(),
     }

@@ -35,7 +35,7 @@ HOT = 1000
 #: Bits of a text's second hash that go with each run.
 TAG = 28
 #: Anchors in a shard; the recurring ones of them are in a task's memory at once.
-SHARD = 300_000
+SHARD = 200_000
 #: Bytes of text that are hashed at once, and segments that one automaton covers.
 BYTES, SEGMENTS = 4_000_000, 20_000
 
@@ -194,7 +194,7 @@ def _segments(shards: int):
                     elif windows:
                         add(r["h"], b" ".join(words[first : first + windows + WINDOW - 1]), False, key, first)
                 size += len(text)
-                if size > 8 * BYTES:
+                if size > 4 * BYTES:
                     yield out()
                     size = 0
         yield out()

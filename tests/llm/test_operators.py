@@ -329,6 +329,22 @@ def test_secrets(spark):
     assert secrets.scan(table(spark, EMPTY)).count() == 0
 
 
+def test_secrets_sql(spark):
+    import duckdb
+
+    from strandweave.llm.queries import oracle_sql
+
+    more = [(20 + k, f"x {r.sample} y {r.sample}") for k, r in enumerate(secrets.labelled_samples(spark, 40, first=50_000).collect())]
+    df = table(spark, [*SECRETS, *more])
+    documents = df.toPandas()  # noqa: F841
+    con = duckdb.connect()
+    con.register("documents", documents)
+    found = con.sql(oracle_sql()["op9_secret_scan"])
+    ours = secrets.scan(df).select(*found.columns).collect()
+    assert sorted(map(repr, map(tuple, ours))) == sorted(map(repr, found.fetchall()))
+    assert sum("markov" in r.spans for r in ours) > 20
+
+
 def test_secret_models_on_samples_held_out(spark):
     from pyspark.sql import functions as F
 
