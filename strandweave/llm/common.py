@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -58,6 +59,9 @@ def discard(df: DataFrame) -> None:
 def collect_garbage(spark: SparkSession) -> None:
     """Lets Spark's cleaner drop the shuffle files of plans that nothing holds any more; else they stay until the driver's next full collection."""
     gc.collect()
+    spark.range(1).count()  # Spark holds on to the last plan until another one has run
+    time.sleep(0.5)  # the driver's Python hands its released references over in the background
+    gc.collect()
     spark._jvm.System.gc()
 
 
