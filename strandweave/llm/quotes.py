@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from strandweave.llm.common import ascii_lower, cut, stored
 
-#: A line's quote marks: each > with the blanks around it is one level.
-MARKS = r"^(?:[ \t]*>)*"
+#: A line's quote marks: each > with the blanks around it is one level.  A repeated group would recurse once a mark.
+MARKS = r"^(?:[ \t>]*>)?"
 
 
 def lines_of(messages: DataFrame) -> DataFrame:

@@ -14,7 +14,8 @@ HEX = r"[0-9a-f]{24,}"  # as long runs: what [0-9a-f]+ finds of 24 characters an
 KINDS = ["assign", "access", "hex"]
 LEAST_VALUE = 6
 #: What the models judge: runs of at least 20 of these characters with a digit among them.
-RUN = r"[A-Za-z0-9+/_=-]{20,}"
+RUN_CHARS = r"[A-Za-z0-9+/_=-]"
+RUN = RUN_CHARS + "{20,}"
 #: The models' alphabet is the code points from "+" to "z".
 LOW, WIDTH = ord("+"), ord("z") - ord("+") + 1
 #: A run is a secret if the mean log-likelihood ratio of its character pairs is above this.
@@ -22,6 +23,8 @@ LEAST_RATIO = 0.8
 #: Labelled samples of each class; the rule that makes them is the labelling.
 SAMPLES = 3000
 SMOOTHING = 0.5
+#: Code points of the chunks from which a text without its secrets is put together.
+CHUNK = 1024
 #: Parts of ordinary identifiers.
 PARTS = "account action add admin api app array asset auth author backup base batch binary block body book border box branch buffer build button cache call catalog category center chapter chart check child class clear client cloud code color column comment common config content context control copy count create current custom data database date default delete design detail device dialog directory document domain download driver edit element email enable entity entry error event example export feature field figure file filter final first folder footer format frame function gallery general global group guide handler header height history home image import index info input install instance introduction item journal key label language last layout level library license line link list load local location login main manager map master media member menu message method mobile model module month name network news node note number object online option order output overview package page panel parser part password path payment photo picture player plugin point policy post press print privacy process product profile program project public query question record release report request research resource response result review right root route sample schedule school science screen script search section security select send series server service session setting share shop single site size source space standard start state static status storage store story stream string style summary support switch system table target task team template term test text theme time title token tool topic total track train type update upload user value version video view volume web week widget window work world year".split()
 
@@ -93,56 +96,98 @@ def ratio(run: Column, model: list[float]) -> Column:
     return total / (F.length(run) - 1)
 
 
+def _let(value: Column, use) -> Column:
+    """``use`` of a value that is worked out once, however often it is named there."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _running(values: Column, step) -> Column:
+    """For each of ``values`` (ints of at least 0) the fold by ``step``, sums or maxima, of those before it.
+
+    Goes by blocks of the square root of their number, since an array that is
+    appended to is copied each time.
+    """
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+
+    def fold(xs: Column) -> Column:
+        return F.aggregate(xs, start, lambda acc, x: F.struct(step(acc["at"], x).alias("at"), F.array_append(acc["out"], acc["at"]).alias("out")))
+
+    def joined(blocks: Column) -> Column:
+        before = fold(F.transform(blocks, lambda x: x["at"]))["out"]
+        return F.flatten(F.zip_with(before, blocks, lambda at, x: F.transform(x["out"], lambda y: step(at, y))))
+
+    def run(xs: Column) -> Column:
+        width = F.greatest(F.ceil(F.sqrt(F.size(xs))).cast("int"), F.lit(1))
+        last = F.floor((F.greatest(F.size(xs), F.lit(1)) - 1) / width).cast("int")
+        return _let(F.transform(F.sequence(F.lit(0), last), lambda b: fold(F.slice(xs, b * width + 1, width))), joined)
+
+    return _let(values, run)
+
+
 def _found(text: Column, pattern: str, kind: str) -> Column:
-    """All matches as an array of (s, e, o, kind, hit): start, end, place of the kind, matched text.
+    """All matches as an array of (s, o, e, kind, hit): start, place of the kind, end, matched text.
 
     The pieces between the matches tell where each match lies.
     """
     order = (KINDS + ["markov"]).index(kind)
-    empty = F.array().cast("array<struct<s:int,e:int,o:int,kind:string,hit:string>>")
+    empty = F.array().cast("array<struct<s:int,o:int,e:int,kind:string,hit:string>>")
     hits, pieces = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    spans = F.aggregate(
-        F.zip_with(hits, pieces, lambda h, p: F.struct(h.alias("h"), F.length(p).alias("gap"))),
-        F.struct(F.lit(0).alias("at"), empty.alias("out")),
-        lambda acc, x: F.when(x["h"].isNull(), acc).otherwise(
-            F.struct(
-                (acc["at"] + x["gap"] + F.length(x["h"])).alias("at"),
-                F.array_append(
-                    acc["out"],
-                    F.struct(
-                        (acc["at"] + x["gap"]).alias("s"),
-                        (acc["at"] + x["gap"] + F.length(x["h"])).alias("e"),
-                        F.lit(order).alias("o"),
-                        F.lit(kind).alias("kind"),
-                        x["h"].alias("hit"),
-                    ),
-                ).alias("out"),
-            )
-        ),
-        lambda acc: acc["out"],
-    )
-    return F.when(text.rlike(pattern), spans).otherwise(empty)
+
+    def placed(pairs: Column) -> Column:
+        before = _running(F.transform(pairs, lambda x: x["gap"] + F.coalesce(F.length(x["h"]), F.lit(0))), lambda a, b: a + b)
+        return F.zip_with(
+            pairs,
+            before,
+            lambda x, at: F.struct(
+                (at + x["gap"]).alias("s"),
+                F.lit(order).alias("o"),
+                (at + x["gap"] + F.length(x["h"])).alias("e"),
+                F.lit(kind).alias("kind"),
+                x["h"].alias("hit"),
+            ),
+        )
+
+    spans = _let(F.zip_with(hits, pieces, lambda h, p: F.struct(h.alias("h"), F.length(p).alias("gap"))), placed)
+    return F.when(text.rlike(pattern), F.filter(spans, lambda x: x["hit"].isNotNull())).otherwise(empty)
+
+
+def _is_base(hit: Column, kind: str) -> Column:
+    return F.length(F.regexp_extract(hit, ASSIGN, 2)) >= LEAST_VALUE if kind == "assign" else F.lit(True)
+
+
+def _touched(text: Column, pattern: str, kind: str) -> Column:
+    """For each run of ``text``, whether it overlaps a base span of this kind; empty if there is none.
+
+    The characters of runs that lie in base spans are overwritten with
+    ``\\0``, which then counts as one of a run's characters, so that the runs
+    stay in place.
+    """
+    hits, pieces = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
+    over = lambda h: F.when(_is_base(h, kind), F.regexp_replace(h, RUN_CHARS, "\0")).otherwise(h)
+    masked = F.array_join(F.zip_with(pieces, hits, lambda p, h: F.concat(F.translate(p, "\0", " "), F.coalesce(over(h), F.lit("")))), "")
+    runs = F.regexp_extract_all(masked, F.lit(RUN.replace("[", r"[\x00")), F.lit(0))
+    return F.when(text.rlike(pattern), F.transform(runs, lambda x: F.contains(x, F.lit("\0")))).otherwise(F.array().cast("array<boolean>"))
 
 
 def with_spans(docs: DataFrame, model: list[float] | None = None, least: float = LEAST_RATIO) -> DataFrame:
-    """``docs`` with ``__sw_base`` and ``__sw_spans``, sorted arrays of (s, e, o, kind, hit) in code points, end exclusive.
+    """``docs`` with ``__sw_base`` and ``__sw_spans``, sorted arrays of (s, o, e, kind, hit) in code points, end exclusive.
 
     ``__sw_spans`` adds to the base spans the runs that the models take for
-    random strings (kind markov) and that overlap no base span.
+    random strings (kind markov) and that overlap no base span.  The time
+    grows with the length of a text and the number of its matches times its
+    square root.
     """
     model = model or train(labelled_samples(docs.sparkSession))
     text = F.coalesce("text", F.lit(""))
-    out = docs.withColumn("__sw_assign", _found(text, ASSIGN, "assign"))
-    out = out.withColumn("__sw_assign", F.filter("__sw_assign", lambda x: F.length(F.regexp_extract(x["hit"], ASSIGN, 2)) >= LEAST_VALUE))
-    out = out.withColumn("__sw_base", F.array_sort(F.concat("__sw_assign", _found(text, ACCESS, "access"), _found(text, HEX, "hex")))).drop("__sw_assign")
-    out = out.withColumn("__sw_runs", _found(text, RUN, "markov"))
-    more = F.filter(
-        "__sw_runs",
-        lambda x: x["hit"].rlike("[0-9]")
-        & ~F.exists("__sw_base", lambda y: (y["s"] < x["e"]) & (y["e"] > x["s"]))
-        & (ratio(x["hit"], model) > least),
-    )
-    return out.withColumn("__sw_spans", F.array_sort(F.concat("__sw_base", more))).drop("__sw_runs")
+    kinds = list(zip((ASSIGN, ACCESS, HEX), KINDS, strict=True))
+    base = [_found(text, p, k) for p, k in kinds]
+    base[0] = F.filter(base[0], lambda x: _is_base(x["hit"], "assign"))
+    out = docs.withColumn("__sw_base", F.array_sort(F.concat(*base)))
+    clear = _found(text, RUN, "markov")
+    for p, k in kinds:
+        clear = F.zip_with(clear, _touched(text, p, k), lambda x, over: F.when(~F.coalesce(over, F.lit(False)), x))
+    more = F.filter(clear, lambda x: x.isNotNull() & x["hit"].rlike("[0-9]") & (ratio(x["hit"], model) > least))
+    return out.withColumn("__sw_spans", F.array_sort(F.concat("__sw_base", F.when(text.rlike(RUN), more).otherwise(F.array()))))
 
 
 def _text_of(spans: str) -> Column:
@@ -164,12 +209,22 @@ def scan(docs: DataFrame, model: list[float] | None = None, least: float = LEAST
 
 def redact(docs: DataFrame, mark: str = "[SECRET]", model: list[float] | None = None, least: float = LEAST_RATIO) -> DataFrame:
     """``docs`` with all their columns, every secret in ``text`` replaced by ``mark``, and ``n_chars`` renewed if there."""
-    rest = "substring(text, a.at + 1, greatest(x.s, a.at) - a.at)"
-    clean = F.expr(f"""aggregate(__sw_spans, named_struct('at', 0, 'out', ''),
-        (a, x) -> named_struct('at', greatest(a.at, x.e), 'out',
-            concat(a.out, {rest}, if(x.s >= a.at, '{mark}', ''))),
-        a -> concat(a.out, substring(text, a.at + 1)))""")
-    out = with_spans(docs, model, least).withColumn("text", F.when(F.size("__sw_spans") > 0, clean).otherwise(F.col("text")))
+    chunks = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+
+    def part(of: Column, a: Column, b: Column) -> Column:
+        """Code points a to b, end exclusive; a substring of the whole text would be counted off from its start."""
+        i, j = F.floor(a / CHUNK).cast("int"), F.floor((b - 1) / CHUNK).cast("int")
+        head, tail = F.get(of, i), F.get(of, j)
+        return F.when(a >= b, "").when(i == j, F.substring(head, a - i * CHUNK + 1, b - a)).otherwise(
+            F.concat(F.substring(head, a - i * CHUNK + 1, F.lit(CHUNK)), F.array_join(F.slice(of, i + 2, F.greatest(j - i - 1, F.lit(0))), ""), F.substring(tail, F.lit(1), b - j * CHUNK))
+        )
+
+    def clean(of: Column) -> Column:
+        before = _running(F.transform("__sw_spans", lambda x: x["e"]), F.greatest)
+        marked = F.zip_with("__sw_spans", before, lambda x, at: F.when(x["s"] >= at, F.concat(part(of, at, x["s"]), F.lit(mark))).otherwise(""))
+        return F.concat(F.array_join(marked, ""), part(of, F.array_max(F.transform("__sw_spans", lambda x: x["e"])), F.length("text")))
+
+    out = with_spans(docs, model, least).withColumn("text", F.when(F.size("__sw_spans") > 0, _let(chunks, clean)).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.size("__sw_spans") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)
