@@ -278,6 +278,14 @@ def test_quotes(spark):
     assert quotes.build(df.limit(0)).count() == 0
 
 
+def test_quotes_of_very_many_levels(spark):
+    rows = [(1, 0, "user", ">" * 100_000 + " x"), (1, 1, "user", "\t> " * 50_000 + "\nown"), (1, 2, "user", "> " * 3 + " \t x")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    assert sorted((r.turn, r.text, r.n_quoted_lines) for r in quotes.build(df).collect()) == [(0, "", 1), (1, "own", 1), (2, "", 1)]
+    levels = {r.turn: r.lines[0].level for r in quotes.lines_of(df).select("turn", "lines").collect()}
+    assert levels == {0: 100_000, 1: 50_000, 2: 3}
+
+
 def test_quotes_sql(spark):
     import duckdb
 
@@ -329,6 +337,37 @@ def test_secrets(spark):
     assert secrets.scan(table(spark, EMPTY)).count() == 0
 
 
+def brute_redacted(text, spans):
+    out, at = "", 0
+    for s, e in spans:
+        if s >= at:
+            out += text[at:s] + "[SECRET]"
+        at = max(at, e)
+    return out + text[at:]
+
+
+def test_secrets_in_dense_texts(spark):
+    """Many spans, overlapping ones, NULs and characters beyond the BMP, against brute force."""
+    rng = random.Random(7)
+    bits = ["token=", "secret: ", "AKIA", "0123456789abcdef" * 2, "Zk9" * 9, "\0", "\U0001f600", "é", " ", "\n", ".", "abc", "section_2_overview_of_tests", "apikey:'"]
+    rows = [(i, "".join(rng.choice(bits) for _ in range(60))) for i in range(60)]
+    rows.append((100, " ".join(f"\U0001f600 {hashlib.md5(str(k).encode()).hexdigest()} Qx{hashlib.sha1(str(k).encode()).hexdigest().upper()} token=x{k:07d}" for k in range(3000))))
+    df = table(spark, rows)
+    got, clean = {r.doc_id: r for r in secrets.scan(df).collect()}, {r.doc_id: r.text for r in secrets.redact(df).collect()}
+    model, wide = secrets.train(secrets.labelled_samples(spark)), secrets.WIDTH
+    for i, text in rows:
+        spans = brute_secrets(text)
+        for m in re.finditer(secrets.RUN, text):
+            codes = [ord(c) - secrets.LOW for c in m[0]]
+            mean = sum(model[a * wide + b] for a, b in zip(codes, codes[1:], strict=False)) / (len(codes) - 1)
+            if re.search("[0-9]", m[0]) and mean > secrets.LEAST_RATIO and not any(s < m.end() and e > m.start() for s, e, *_ in spans):
+                spans = [*spans, (m.start(), m.end(), 3, "markov")]
+        spans = sorted(spans, key=lambda x: (x[0], x[2]))
+        assert got[i].spans == ",".join(f"{k}:{s}:{e}" for s, e, _, k in spans)
+        assert clean[i] == brute_redacted(text, [x[:2] for x in spans])
+    assert got[100].n_assign == got[100].n_hex == 3000
+
+
 def test_secrets_sql(spark):
     import duckdb
 
