@@ -226,9 +226,11 @@ def warm_start(df: DataFrame, by: str, order: str, target: str, rounds: int = 30
     return df.select(by, order, target).groupBy(by).applyInPandas(solve, f"{by} {kind}, {order} long, residual double")
 
 
-def shards(df: DataFrame, by: str, order: Sequence[str], size: str, most: int, header: int = 0) -> DataFrame:
+def shards(df: DataFrame, by: str, order: Sequence[str], size: str, most: int, header: int | str = 0) -> DataFrame:
     """Greedy packing in order: a new shard when the next payload would pass ``most``; headers count after the test.
 
+    A header is a number of bytes or the column that holds it.
+
     Adds ``shard``, numbered from 0 in each ``by``.  Sizes are streamed in
     order, one at a time.
     """
@@ -238,12 +240,13 @@ def shards(df: DataFrame, by: str, order: Sequence[str], size: str, most: int, h
         at, shard, full = None, 0, 0
         for b in batches:
             out = []
-            for k, s in zip(b[by].tolist(), b[size].tolist(), strict=True):
+            heads = b[header].tolist() if isinstance(header, str) else [header] * len(b)
+            for k, s, head in zip(b[by].tolist(), b[size].tolist(), heads, strict=True):
                 if k != at:
                     at, shard, full = k, 0, 0
                 if full > 0 and full + s > most:
                     shard, full = shard + 1, 0
-                full += header + s
+                full += head + s
                 out.append(shard)
             yield b.assign(shard=out)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strandweave.functions import text as T
 
@@ -17,18 +18,27 @@ KEYS = "session_id stream modality sensor_id sensor timestamp_ns timestamp_us ti
 
 
 def scan(spark: SparkSession, folder: str, session: str = "session") -> DataFrame:
-    """One record per file under ``folder`` whose modality and time can be told from its path, without reading contents."""
+    """One record per file under ``folder`` whose modality and time can be told.
+
+    The time is in the file's name, else in the document of a JSON file; no
+    other contents are read.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).select("path", "length")
     root = folder.rstrip("/").removeprefix("file:")
     path = F.element_at(F.split("path", root + "/", 2), -1)
     name = F.element_at(F.split(path, "/"), -1)
     folders = F.slice(F.split(path, "/"), 1, F.size(F.split(path, "/")) - 1)
+    known = sidecars(spark, folder).select(F.col("path").alias("_path"), "metadata")
+    files = files.join(known, F.col("path") == F.col("_path"), "left")
+    stated = {k: F.try_variant_get("metadata", f"$.{k}", "string") for k in KEYS if k.startswith("timestamp")}
     rows = files.select(
         F.lit(session).alias("session_id"),
         T.modality(path).alias("modality"),
         F.coalesce(T.sensor(path), F.lit("sensor")).alias("sensor_id"),
-        T.digits_to_ns(name).alias("timestamp_ns"),
+        F.coalesce(T.digits_to_ns(name), timestamp_ns(stated)).alias("timestamp_ns"),
         path.alias("path"),
+        F.regexp_replace(name, r"\.[^.]*$", "").alias("frame_id"),
+        F.coalesce(F.to_json("metadata"), F.lit("{}")).alias("metadata"),
         "length",
         folders.alias("_folders"),
     )
@@ -54,15 +64,26 @@ def timestamp_ns(of: dict[str, Column]) -> Column:
 
 
 def normalized(rows: DataFrame, root: str = "") -> tuple[DataFrame, DataFrame]:
-    """Records, and the rows without a path; keys that no record has are gathered in metadata.manifest_extra."""
+    """Records, and the rows without a path."""
+    name = [F.nullif(F.col(k).cast("string"), F.lit("")) for k in ("path", "file", "uri") if k in rows.columns]
+    return all_normalized(rows, root).where("path is not null"), rows.where(F.coalesce(*name, F.lit(None)).isNull())
+
+
+def all_normalized(rows: DataFrame, root: str = "") -> DataFrame:
+    """A record for each row, even without a path; keys that no record has are gathered in metadata.manifest_extra."""
     of = {k: F.nullif(F.col(k).cast("string"), F.lit("")) if k in rows.columns else F.lit(None).cast("string") for k in KEYS}
     name = F.coalesce(of["path"], of["file"], of["uri"])
     full = F.when(name.startswith("/") | (F.lit(root) == ""), name).otherwise(F.concat(F.lit(root.rstrip("/") + "/"), name))
     extra = [c for c in rows.columns if c not in KEYS]
     rest = F.to_json(F.struct(*[F.col(c) for c in extra])) if extra else F.lit("{}")
+    if "metadata" in rows.columns and isinstance(rows.schema["metadata"].dataType, StructType):
+        own = F.coalesce(F.to_json("metadata"), F.lit("{}"))
+    else:
+        own = F.when(F.schema_of_variant(F.try_parse_json(of["metadata"])).startswith("OBJECT"), F.trim(of["metadata"])).otherwise("{}")
+    with_rest = F.concat(F.regexp_replace(own, r"\s*\}$", ""), F.when(own.rlike(r"^\{\s*\}$"), "").otherwise(","), F.lit('"manifest_extra":'), rest, F.lit("}"))
     modality = F.coalesce(of["modality"], T.modality(name), F.lit("unknown"))
     sensor = F.coalesce(of["sensor_id"], of["sensor"], T.sensor(name), F.lit("sensor"))
-    out = rows.select(
+    return rows.select(
         F.coalesce(of["session_id"], F.lit("session")).alias("session_id"),
         F.coalesce(of["stream"], F.concat_ws(":", modality, sensor)).alias("stream"),
         modality.alias("modality"),
@@ -70,9 +91,8 @@ def normalized(rows: DataFrame, root: str = "") -> tuple[DataFrame, DataFrame]:
         timestamp_ns(of).alias("timestamp_ns"),
         full.alias("path"),
         of["frame_id"].alias("frame_id"),
-        F.to_json(F.struct(of["metadata"].alias("metadata"), rest.alias("manifest_extra"))).alias("metadata"),
+        F.when(rest == "{}", own).otherwise(with_rest).alias("metadata"),
     )
-    return out.where("path is not null"), rows.where(name.isNull())
 
 
 def sidecars(spark: SparkSession, folder: str) -> DataFrame:

@@ -83,16 +83,19 @@ def size_by_kind(spark, root: str) -> DataFrame:
 
 
 def exported(archives: DataFrame, folder: str, name: str = "shard") -> DataFrame:
-    """Writes archives as files in a folder that all executors mount; each appears whole or not at all."""
+    """Writes archives as files in a folder that all executors mount; each appears whole or not at all.
+
+    ``name`` is a column of numbers or of names, which may have folders.
+    """
 
     def written(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import os
         import uuid
 
-        os.makedirs(folder, exist_ok=True)
         for rows in batches:
             for key, data in zip(rows[name], rows["archive"], strict=True):
-                path = f"{folder}/{int(key):06d}.tar"
+                path = f"{folder}/{key if isinstance(key, str) else format(int(key), '06d')}.tar"
+                os.makedirs(os.path.dirname(path), exist_ok=True)
                 with open(part := f"{path}.{uuid.uuid4().hex}", "wb") as f:
                     f.write(data)
                 os.replace(part, path)
