@@ -175,25 +175,26 @@ def links(distinct: DataFrame) -> DataFrame:
     )
 
 
-def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """node and root (the smallest node of its component) of each node of ``edges`` (a, b).
 
-    Each round takes the smallest root among the neighbours and then that
-    root's own root, so that their number grows as the logarithm of the
-    longest path.
+    Each round takes the smallest root's root among the neighbours for the
+    node and for the node's old root too, and halves the ways to the roots.
+    Roots only ever get smaller; rounds go on until none does, when
+    neighbours have the same root.  Paths, trees and caterpillars of n nodes,
+    in order and numbered at random, took no more than log2(n) + 4 rounds up
+    to n = 1,000,000.
     """
     both = cut(edges.select("a", "b").union(edges.select("b", "a")).toDF("a", "b").distinct())
-    at = cut(both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("root")))
-    for _ in range(rounds):
-        near = both.join(at, F.col("b") == F.col("node")).groupBy("a").agg(F.min("root").alias("near"))
-        better = at.join(near, F.col("node") == F.col("a")).select("node", "root", F.least("root", "near").alias("to"))
-        up = at.select(F.col("node").alias("n"), F.col("root").alias("up"))
-        after = cut(better.join(up, F.col("to") == F.col("n"), "left").select("node", "root", F.least("to", "up").alias("to")))
-        done = after.where("to != root").isEmpty()
-        at = after.select("node", F.col("to").alias("root"))
-        if done:
-            break
-    return at
+    after = cut(both.groupBy("a").agg(F.least("a", F.min("b")).alias("root")).withColumnRenamed("a", "node"))
+    while True:
+        at = cut(after.select("node", "root").join(after.select(F.col("node").alias("n"), F.col("root").alias("up")), F.col("root") == F.col("n")).drop("n"))
+        near = both.join(at.select("node", "up"), F.col("b") == F.col("node")).groupBy("a").agg(F.min("up").alias("near"))
+        better = at.join(near, F.col("node") == F.col("a")).select("node", "root", F.least("up", "near").alias("to"))
+        hooked = better.select(F.col("root").alias("node"), F.lit(None).cast("long").alias("root"), "to")
+        after = cut(better.union(hooked).groupBy("node").agg(F.max("root").alias("was"), F.min("to").alias("root")))
+        if after.where("root != was").isEmpty():
+            return after.select("node", "root")
 
 
 def classes(docs: DataFrame) -> DataFrame:

@@ -246,6 +246,16 @@ def test_simhash(spark, monkeypatch, shard):
     assert simhash.classes(table(spark, EMPTY)).count() == 0
 
 
+def test_components_of_long_paths(spark):
+    number = list(range(1300))
+    random.Random(7).shuffle(number)
+    paths = [number[:1000], number[1000:]]
+    edges = spark.createDataFrame([e for p in paths for e in zip(p, p[1:])], "a long, b long")
+    got = {r.node: r.root for r in simhash.components(edges).collect()}
+    assert got == {x: min(p) for p in paths for x in p}
+    assert simhash.components(edges.limit(0)).count() == 0
+
+
 def test_forest():
     rng = np.random.default_rng(0)
     centre = rng.integers(0, 2**63, 5, dtype=np.uint64)
