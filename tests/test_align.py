@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strandweave.operators import align, segment
+from strandweave.plans import alignment
 
 MS = 1_000_000
 
@@ -105,3 +106,17 @@ def test_shards(spark):
     rows = spark.createDataFrame([("s", i, n) for i, n in enumerate([60, 40, 1, 200, 0])], "k string, i long, n long").repartition(3)
     got = [r.shard for r in segment.shards(rows, "k", ["i"], "n", 100).orderBy("i").collect()]
     assert got == [0, 0, 1, 2, 3] or got == [0, 0, 1, 2, 2]
+
+
+def test_clips_of_a_long_span(spark, tmp_path):
+    day, first = 86_400, 1_704_067_200
+    rows = [(k, 1, first + k * day, ["view", "error"][k % 2], 1.0 + k, None) for k in range(0, 100, 7)] + [(200, 2, first, "error", 1.0, None)]
+    spark.createDataFrame(rows, "event_id long, user_id long, ts long, event_type string, value double, props string").withColumn("ts", F.timestamp_seconds("ts")).write.parquet(f"{tmp_path}/events.parquet")
+    span = {1: 98 * day, 2: 0}
+    clips = [(u, k, first + 3 * k * day, first + (3 * k + 4) * day) for u in span for k in range(span[u] // (3 * day) + 1)]
+    micros = lambda s: s * 1_000_000
+    want = sorted((u, e, k, micros(max(t, a)), micros(min(t + day, b))) for e, u, t, kind, *_ in rows if kind == "error" for v, k, a, b in clips if u == v and t + day > a and t < b)
+    got = alignment.interval_overlap_clip(spark, str(tmp_path)).select("user_id", "event_id", "k", "cut_start", "cut_end")
+    assert sorted(map(tuple, got.collect())) == want and max(k for _, _, k, *_ in want) > 9
+    got = alignment.interval_clip_quality(spark, str(tmp_path)).select("user_id", "k", "frames")
+    assert sorted(map(tuple, got.collect())) == sorted((u, k, sum(v == u and a <= t < b for _, v, t, *_ in rows)) for u, k, a, b in clips)
