@@ -14,12 +14,23 @@ from pyspark.sql import functions as F
 LEAST_WORDS, MOST_REPEATED = 50, 50
 SYMBOLS = b"#*$%&|<>"
 LEVEL = 3
-#: Length in bytes from which on a band holds; least and most compression ratio of the whole text.
-BANDS = [(0, 0.0, float("inf")), (300, 1.1, 5.0), (1000, 1.25, 5.5), (3000, 1.35, 6.0), (10000, 1.4, 7.0)]
-#: Chunks of so many bytes are judged by a band of their own; a last one of under a quarter isn't judged.
-CHUNK, CHUNK_BAND = 4096, (1.2, 7.0)
+#: By script (ASCII mostly, letters of two bytes, of three): length in bytes from which on a limit holds, and the least
+#: ratio. It lies over that of random characters where prose of that length compresses better: for ASCII base64 from
+#: 300 bytes and a-z from 1000, for Cyrillic and the like from 5000, for Chinese from 3000.
+LEAST = [
+    [(0, 0.0), (300, 1.2), (500, 1.3), (1000, 1.65), (1500, 1.7), (2500, 1.75), (4096, 1.85), (7000, 1.95), (30000, 2.0)],
+    [(0, 0.0), (300, 1.1), (1000, 1.5), (3000, 1.95), (5000, 2.1), (7000, 2.2), (30000, 2.5)],
+    [(0, 0.0), (300, 1.0), (1000, 1.25), (3000, 1.42), (7000, 1.5), (30000, 1.6)],
+]
+#: Least share of the characters that has two or three bytes in a text of these scripts.
+WIDE = 0.3
+#: Length from which on a limit holds; most compression ratio of the whole text.
+MOST = [(0, float("inf")), (300, 5.0), (1000, 5.5), (3000, 6.0), (10000, 7.0)]
+#: Chunks of so many bytes are judged by LEAST and a limit of their own; a last one of under a quarter isn't judged.
+CHUNK, MOST_OF_CHUNK = 4096, 7.0
 #: A text fails if more than this share of its chunks lies outside.
-MOST_CHUNKS = 0.5
+MOST_CHUNKS = 0.25
+TWO, THREE, INNER = bytes(range(0xC2, 0xE0)), bytes(range(0xE0, 0xF0)), bytes(range(0x80, 0xC0))
 
 OUT = pa.schema(
     [("n_words", pa.int64()), ("word_chars", pa.int64()), ("n_symbols", pa.int64()), ("n_dup_lines", pa.int64()), ("n_repeat_words", pa.int64()), ("base_failed", pa.bool_()), ("kept", pa.bool_()), ("ratio", pa.float64()), ("n_chunks", pa.int64()), ("n_odd_chunks", pa.int64())]
@@ -40,15 +51,22 @@ def repeated_words(words: list[bytes]) -> int:
     return covered
 
 
+def least_ratio(text: bytes) -> float:
+    """The lower limit for the length and script of ``text``."""
+    two, three, inner = (len(text) - len(text.translate(None, x)) for x in (TWO, THREE, INNER))
+    script = 0 if two + three < WIDE * (len(text) - inner) else 1 if two >= three else 2
+    return next(x for least, x in reversed(LEAST[script]) if len(text) >= least)
+
+
 def judge_text(text: bytes, squeeze: zstandard.ZstdCompressor) -> tuple:
     words = text.split()  # bytes: splits at \x20 and \x09-\x0D only
     lines = [x for x in text.split(b"\n") if x.strip()]
     n, repeated = len(words), repeated_words(words)
     failed = n < LEAST_WORDS or 100 * repeated > MOST_REPEATED * n
     ratio = len(text) / len(squeeze.compress(text)) if text else 0.0
-    low, high = next((a, b) for least, a, b in reversed(BANDS) if len(text) >= least)
+    low, high = least_ratio(text), next(x for least, x in reversed(MOST) if len(text) >= least)
     chunks = [c for i in range(0, len(text), CHUNK) if len(c := text[i : i + CHUNK]) >= CHUNK // 4]
-    odd = sum(not CHUNK_BAND[0] <= len(c) / len(squeeze.compress(c)) <= CHUNK_BAND[1] for c in chunks)
+    odd = sum(not least_ratio(c) <= len(c) / len(squeeze.compress(c)) <= MOST_OF_CHUNK for c in chunks)
     kept = not failed and low <= ratio <= high and odd <= MOST_CHUNKS * len(chunks)
     return (
         n,

@@ -209,6 +209,25 @@ def test_quality(spark):
     assert quality.scan(table(spark, EMPTY)).count() == 0
 
 
+ENGLISH = "The harbour was quiet when the last boat came in, and nobody on the quay asked where it had been. An old man coiled the ropes, looked up at the clouds over the hills, and said that there would be rain before the morning. His daughter carried two baskets of fish to the house at the end of the street, where a lamp was still burning. She thought about the letter that had come on Tuesday, which she had read so often that she knew each line by heart. Her brother wrote that the city was loud, that work was easy to find, and that he would send money for the roof as soon as he could. Winter had been long that year; the well froze twice, and the road over the pass stayed closed until April. Still, the children went to school every day, and the teacher brought them books from the library in town. What they liked best were stories of people who left home and returned with nothing but a good tale to tell. When the rain began, the old man closed the shutters, put another log on the fire, and started to tell one himself."
+RUSSIAN = "Когда последняя лодка вошла в гавань, на берегу было тихо, и никто не спросил, где она была. Старик свернул канаты, посмотрел на облака над холмами и сказал, что к утру пойдёт дождь. Его дочь отнесла две корзины рыбы в дом в конце улицы, где ещё горела лампа. Она думала о письме, которое пришло во вторник и которое она читала так часто, что знала каждую строку наизусть. Брат писал, что в городе шумно, что работу найти легко и что он пришлёт деньги на крышу, как только сможет. Зима в том году была долгой, колодец замерзал дважды, а дорога через перевал оставалась закрытой до апреля. Всё же дети каждый день ходили в школу, и учитель приносил им книги из городской библиотеки."
+
+
+def test_quality_of_noise(spark):
+    rng, rows = random.Random(3), [(-1, ENGLISH), (-2, RUSSIAN), (-3, prose(4, 3000))]
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    for alphabet, n in ((letters + letters.upper() + "0123456789+/", 16), (letters + "0123456789", 8), (letters, 8)):
+        for size in (1019, 3000, 7199, 30_000):
+            rows.append((len(rows), " ".join("".join(rng.choices(alphabet, k=n)) for _ in range(size // (n + 1)))))
+    rows.append((len(rows), " ".join("".join(chr(rng.randint(0x4E00, 0x9FA5)) for _ in range(4)) for _ in range(600))))
+    noise = " ".join("".join(rng.choices(letters, k=8)) for _ in range(1400))
+    rows.append((len(rows), prose(5, 4000) + " " + noise))  # a third of it
+    got = {r.doc_id: r for r in quality.scan(table(spark, rows)).collect()}
+    assert sorted(i for i, r in got.items() if r.kept) == [-3, -2, -1]
+    given = quality.scan(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
+    assert given.where("not base_failed").count() == given.where("kept").count() > 0
+
+
 def brute_fingerprint(text):
     w = SPACED.findall(lower(text))
     if not w:
