@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import gc
+import re
 import tempfile
-import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,8 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 #: After A-Z are lower-cased: runs of digits, a-z and everything outside ASCII.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: All other characters, as they are and as a pattern.
+BETWEEN, BETWEENS = "".join(map(chr, [*range(0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])), WORD.replace("^", "")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,16 +24,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; one is set only where the session names none."""
+    """The folder all executors share; only where driver and executors are one process, one is made if the session names none."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         sc = spark.sparkContext
         if not sc.getCheckpointDir():
+            if not re.match(r"local(\[|$)", sc.master):
+                raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
             sc.setCheckpointDir(tempfile.mkdtemp(prefix="strandweave-"))
         base = sc.getCheckpointDir()
     return base.rstrip("/")
 
 
+@contextmanager
+def _shuffles_end(spark: SparkSession) -> Iterator[None]:
+    """The shuffle files of each write in here go when it is done."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage of a small table with a reliable checkpoint."""
     shared_dir(df.sparkSession)
@@ -38,10 +55,11 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage of a large table by writing it to the shared folder; it goes when the session ends."""
+    """Cut the lineage of a large table by writing it to the shared folder; it goes when the session ends, and its shuffles when it is written."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with _shuffles_end(spark):
+        df.write.parquet(path)
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
     out = spark.read.schema(df.schema).parquet(path)
@@ -56,13 +74,14 @@ def discard(df: DataFrame) -> None:
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def collect_garbage(spark: SparkSession) -> None:
-    """Lets Spark's cleaner drop the shuffle files of plans that nothing holds any more; else they stay until the driver's next full collection."""
-    gc.collect()
-    spark.range(1).count()  # Spark holds on to the last plan until another one has run
-    time.sleep(0.5)  # the driver's Python hands its released references over in the background
-    gc.collect()
-    spark._jvm.System.gc()
+#: Bytes that a table may have, as JSON, to be broadcast.
+BROADCAST = 16_000_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """``df``, a table cut off from its lineage, for a broadcast if its measured size allows that, else as it is, for a shuffle."""
+    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct(*df.columns))))).first()[0] or 0
+    return F.broadcast(df) if size <= BROADCAST else df
 
 
 def ascii_lower(text: Column) -> Column:
@@ -74,7 +93,9 @@ def ascii_lower(text: Column) -> Column:
 
 
 def words(text: Column) -> Column:
-    return F.regexp_extract_all(ascii_lower(text), F.lit(WORD), F.lit(0))
+    """The runs of WORD; split at the rest, which is faster than to extract them."""
+    inner = F.btrim(ascii_lower(text), F.lit(BETWEEN))
+    return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, BETWEENS, -1))
 
 
 def row_key(*columns: str) -> list[Column]:

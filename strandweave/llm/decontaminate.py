@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandweave.llm.common import row_key, words
-from strandweave.llm.positional import look_up, rarest_terms, term_counts
+from strandweave.llm.common import cut, row_key, small, words
+from strandweave.llm.positional import KEY, intersect, postings, rarest_terms, term_counts, tokenized
 
 WINDOW = 10
-#: Words within which a window's three rarest terms must lie for a proximity match.
-NEAR = 20
+#: Words within which of a window's rarest term its two next rarest terms must stand for a proximity match.
+NEAR = 10
 
 
 def windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -30,60 +30,51 @@ def windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     )
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, near: int = NEAR) -> DataFrame:
-    """Exact phrase and proximity matches of ``benchmark`` windows in ``docs`` (doc_id, text).
+def matches(tokens: DataFrame, benchmark: DataFrame, window: int = WINDOW, near: int = NEAR) -> DataFrame:
+    """``tokens``, as ``tokenized`` makes them, each with its ``matches``: exact phrase and proximity matches.
 
-    One row per match: doc_id, row_hash, row_chars, start, terms, items, exact
-    (true: the window stands at start; false: its three rarest terms lie
-    within ``near`` words around start), and one closing row per document with
-    null terms and start = its number of words.
+    A match has s and e (start and end, exclusive, of each exact occurrence of
+    a window), items (its items) and near (the places of the window's rarest
+    term with its two next rarest terms within ``near`` words).  It is null
+    where the index finds nothing.
     """
-    tokens = docs.select("doc_id", *row_key("doc_id", "text"), words(F.col("text")).alias("words"))
-    phrases = windows(benchmark, window)
-    vocabulary = phrases.select(F.explode("terms").alias("term")).distinct()
-    ranked = rarest_terms(phrases, term_counts(tokens, vocabulary))
-    around = f"slice(words, greatest(start + anchors[0].at - {near // 2}, 0) + 1, {near + 1})"
-    close = F.expr(
-        f"size(anchors) = 3 and array_contains({around}, anchors[1].term) and array_contains({around}, anchors[2].term)"
+    phrases = cut(windows(benchmark, window))
+    vocabulary = cut(phrases.select(F.explode("terms").alias("term")).distinct())
+    ranked = cut(rarest_terms(phrases, term_counts(tokens, vocabulary)))
+    index = postings(tokens, cut(ranked.select(F.explode("anchors.term").alias("term")).distinct()))
+    met = intersect(index, ranked.select("terms", "items", "anchors"), near)
+    one = F.struct("terms", "items", "exact", F.coalesce("near", F.array().cast("array<int>")).alias("near"))
+    met = cut(met.groupBy(*[F.col(c).alias(f"m_{c}") for c in KEY]).agg(F.collect_list(one).alias("met")))
+    stands = "filter(m.exact, s -> slice(words, s + 1, size(m.terms)) = m.terms)"
+    return tokens.join(small(met), [F.col(c) == F.col(f"m_{c}") for c in KEY], "left").select(
+        *tokens.columns,
+        F.expr(
+            f"""transform(met, m -> named_struct('items', m.items, 'near', m.near,
+                'spans', transform({stands}, s -> named_struct('s', s, 'e', s + size(m.terms)))))"""
+        ).alias("matches"),
     )
-    found = look_up(tokens, ranked, keep_if=close)
-    return found.select("doc_id", "row_hash", "row_chars", "start", "terms", "items", "exact")
 
 
-def judge(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, n_near_items.
-
-    ``n_hit`` counts the words inside any occurrence of a window.
-    ``n_near_items`` counts the items with an exact or proximity match.  Null
-    has no words.  Rows with the same doc_id and text have the same result,
-    once for each of them.  An empty benchmark leaves all clean.
-    """
-    return _judged(docs, benchmark, window).drop("row_hash", "row_chars")
-
-
-def _judged(docs: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
-    found = matches(docs, benchmark, window)
-    closing = F.col("terms").isNull()
-    span = F.struct(F.col("start").alias("s"), (F.col("start") + F.size("terms")).alias("e"))
-    items = lambda when: F.array_distinct(F.flatten(F.collect_set(F.when(when, F.col("items")))))
-    covered = """aggregate(array_sort(spans), named_struct('e', 0, 'n', 0),
+def _judged(tokens: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
+    items = lambda when: f"array_sort(array_distinct(flatten(transform(filter(found, m -> {when}), m -> m.items))))"
+    covered = """aggregate(array_sort(flatten(transform(found, m -> m.spans))), named_struct('e', 0, 'n', 0),
         (a, x) -> named_struct('e', greatest(a.e, x.e), 'n', a.n + greatest(x.e - greatest(a.e, x.s), 0)),
         a -> cast(a.n as bigint))"""
+    found = matches(tokens, benchmark, window)
+    none = F.array().cast(found.schema["matches"].dataType)
     return (
-        found.groupBy("doc_id", "row_hash", "row_chars")
-        .agg(
-            F.count(F.when(closing, 1)).alias("copies"),
-            F.max(F.when(closing, F.col("start"))).cast("long").alias("n_words"),
-            F.collect_set(F.when(F.col("exact"), span)).alias("spans"),
-            F.array_sort(items(F.col("exact"))).alias("items"),
-            items(~closing).alias("near"),
+        found.withColumn("found", F.coalesce("matches", none))
+        .select(
+            *KEY,
+            "doc_id",
+            F.size("words").cast("long").alias("n_words"),
+            F.expr(covered).alias("n_hit"),
+            F.expr(items("size(m.spans) > 0")).alias("items"),
+            F.expr(items("size(m.spans) > 0 or size(m.near) > 0")).alias("near"),
         )
-        .withColumn("_copy", F.explode(F.expr("sequence(1L, copies)")))
-        .withColumn("n_hit", F.expr(covered))
         .select(
+            *KEY,
             "doc_id",
-            "row_hash",
-            "row_chars",
             "n_words",
             "n_hit",
             F.size("items").cast("long").alias("n_items"),
@@ -94,13 +85,27 @@ def _judged(docs: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
     )
 
 
+def judge(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, n_near_items.
+
+    ``n_hit`` counts the words inside any occurrence of a window.
+    ``n_near_items`` counts the items with an exact or proximity match.  Null
+    has no words.  Rows with the same doc_id and text have the same result,
+    once for each of them.  An empty benchmark leaves all clean.
+    """
+    return _judged(tokenized(docs), benchmark, window).drop(*KEY)
+
+
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The rows of ``docs`` without an occurrence of a window, with all their columns."""
+    """The rows of ``docs`` without an occurrence of a window, with all their columns.
+
+    Rows with a null doc_id or text are rows like others; a null text is clean.
+    """
     hit = (
-        matches(docs, benchmark, window)
-        .where("exact")
+        _judged(tokenized(docs), benchmark, window)
+        .where("contaminated")
         .select(F.col("row_hash").alias("__sw_hash"), F.col("row_chars").alias("__sw_chars"))
         .distinct()
     )
     key, chars = row_key("doc_id", "text")
-    return docs.join(hit, key.eqNullSafe(F.col("__sw_hash")) & chars.eqNullSafe(F.col("__sw_chars")), "left_anti")
+    return docs.join(small(cut(hit)), key.eqNullSafe(F.col("__sw_hash")) & chars.eqNullSafe(F.col("__sw_chars")), "left_anti")

@@ -1,4 +1,12 @@
-"""Licence scans through a positional rare-token index."""
+"""Licence scans through a positional rare-token index.
+
+Of each file the licence words (words of any template) are kept with their
+places; they are counted over all files.  A file's words with the highest
+inverse document frequency are looked up: those that are the rarest of a
+template's key phrase.  Each gives the template's place in the file, where the
+key phrase is verified and the template's postings (place, word) are
+intersected with the file's, less the template's place.
+"""
 
 from __future__ import annotations
 
@@ -6,8 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strandweave.llm.common import row_key, words
-from strandweave.llm.positional import look_up, rarest_terms, term_counts
+from strandweave.llm.common import cut, row_key, small, stored, words
+from strandweave.llm.positional import KEY, rarest_terms
 
 #: Phrases whose places are all counted, with their labels.
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -17,15 +25,19 @@ TEMPLATES = [
     ("agpl", "licensed under the gnu affero general public license", "affero general public license"),
     ("apache", "licensed under the apache license version 2 0", "apache license version"),
     ("apache", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis", "unless required by applicable law or agreed to in writing"),
+    ("apache", "you may not use this file except in compliance with the license", "use this file except in compliance with the license"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", "redistribution and use in source and binary forms"),
+    ("bsd", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission", "may be used to endorse or promote products derived from this software"),
     ("cc-by", "licensed under cc by 4 0", "licensed under cc by"),
     ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license", "creative commons attribution"),
     ("cc-by-nc", "licensed under cc by nc 4 0", "licensed under cc by nc"),
     ("gpl", "this work is licensed under the gnu general public license version 3", "gnu general public license"),
+    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation", "gnu general public license as published by the free software foundation"),
     ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", "permission to use copy modify and or distribute this software"),
     ("lgpl", "licensed under the gnu lesser general public license", "lesser general public license"),
     ("mit", "released under the mit license", "under the mit license"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", "permission is hereby granted free of charge"),
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", "shall be included in all copies or substantial portions of the software"),
     ("mpl", "this source code form is subject to the terms of the mozilla public license", "mozilla public license"),
     ("unlicense", "this is free and unencumbered software released into the public domain", "free and unencumbered software released into the public domain"),
 ]
@@ -53,60 +65,75 @@ def phrase_rows(base=BASE, templates=TEMPLATES) -> list[tuple]:
     return rows
 
 
-def places(docs: DataFrame, base=BASE, templates=TEMPLATES) -> DataFrame:
-    """Where base phrases and templates stand in ``docs`` (doc_id, text).
+def licence_words(docs: DataFrame, templates: list[tuple]) -> DataFrame:
+    """doc_id, row_hash, row_chars, n_words and hits (at, term), the licence words in order, of each row of ``docs``, stored."""
+    terms = sorted({t for _, _, _, key, template, _ in templates for t in key + template})
+    split = docs.select("doc_id", *row_key("doc_id", "text"), words(F.col("text")).alias("words"))
+    placed = F.transform("words", lambda w, i: F.struct(i.alias("at"), w.alias("term")))
+    hits = F.filter(placed, lambda x: x["term"].isin(terms))
+    return stored(split.select("doc_id", *KEY, F.size("words").cast("long").alias("n_words"), hits.alias("hits")), "licence-words")
+
+
+def places(files: DataFrame, templates: list[tuple]) -> DataFrame:
+    """Where ``templates`` stand in ``files``, as ``licence_words`` makes them.
 
-    One row per verified place: doc_id, row_hash, row_chars, label, base,
-    start (of the key phrase, words from 0), share (of the template's words
-    that stand at their relative positions), and one closing row per document
-    with a null label and start = its number of words.  Null text is empty;
-    a null doc_id is kept; repeated rows give repeated places.
+    One row per place with its key phrase: row_hash, row_chars, phrase_id,
+    label, base, start (of the key phrase, words from 0), share (of the
+    template's words that stand at their relative positions).
     """
-    spark = docs.sparkSession
-    phrases = spark.createDataFrame(phrase_rows(base, templates), _PHRASE)
-    tokens = docs.select("doc_id", *row_key("doc_id", "text"), words(F.col("text")).alias("words"))
-    vocabulary = phrases.select(F.explode("terms").alias("term")).distinct()
-    ranked = rarest_terms(phrases, term_counts(tokens, vocabulary), keep=1)
-    found = look_up(tokens, ranked)
-    first = F.col("start") - F.col("key_at")
-    standing = F.expr("filter(transform(template, (t, i) -> get(words, start - key_at + i) = t), x -> x)")
-    share = F.when(F.col("label").isNotNull() & first.isNotNull(), F.size(standing) / F.size("template"))
-    return found.select("doc_id", "row_hash", "row_chars", "label", "base", "start", share.alias("share"))
+    phrases = files.sparkSession.createDataFrame(templates, _PHRASE)
+    held = files.select(F.explode(F.array_distinct(F.transform("hits", lambda x: x["term"]))).alias("term"))
+    in_files = held.groupBy("term").agg(F.count(F.lit(1)).alias("postings"))
+    ranked = rarest_terms(phrases, in_files, keep=1).withColumn("anchor", F.col("anchors")[0])
+    looked_up = cut(ranked.select("*", F.col("anchor.term").alias("word"), F.col("anchor.at").alias("in_key")).drop("anchor", "anchors"))
+    found = (
+        files.select(*KEY, "hits", F.posexplode("hits").alias("k", "hit"))
+        .join(small(looked_up), F.col("hit.term") == F.col("word"))
+        .withColumn("start", F.col("hit.at") - F.col("in_key"))
+        # the words of a phrase that stands here are neighbours among the licence words, too
+        .withColumn("own", F.when(F.col("k") >= F.col("in_key"), F.slice("hits", F.col("k") - F.col("in_key") + 1, F.size("terms"))))
+        .where("size(own) = size(terms) and own[0].at = start and own[size(own) - 1].at = start + size(own) - 1")
+        .where(F.transform("own", lambda x: x["term"]) == F.col("terms"))
+    )
+    postings = F.transform("template", lambda t, j: F.struct((j + F.col("start") - F.col("key_at")).alias("at"), t.alias("term")))
+    around = F.slice("hits", F.greatest(F.col("k") - F.col("key_at") - F.col("in_key"), F.lit(0)) + 1, F.size("template"))
+    share = F.size(F.array_intersect(around, postings)) / F.size("template")
+    return found.select(*KEY, "phrase_id", "label", "base", "start", share.alias("share"))
 
 
 def scan(docs: DataFrame, base=BASE, templates=TEMPLATES, min_share: float = MIN_SHARE) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
     ``score`` is the largest share of a template that stands in the text, 1
-    for a base phrase, 0 if nothing is found.  Rows with the same doc_id and
-    text have the same result, once for each of them.
+    for a base phrase, 0 if nothing is found.  Null text is empty; a null
+    doc_id is kept; rows with the same doc_id and text have the same result,
+    once for each of them.
     """
-    found = places(docs, base, templates)
+    rows = phrase_rows(base, templates)
+    files = licence_words(docs, rows)
     base_place = F.when(F.col("base"), F.col("start"))
     kept = F.col("base") | (F.col("share") >= min_share)
-    closing = F.col("label").isNull()
     joined = lambda c: F.array_join(F.array_sort(F.collect_set(c)), ",")
-    return (
-        found.groupBy("doc_id", "row_hash", "row_chars")
+    found = (
+        places(files, rows)
+        .distinct()  # rows that are repeated have the same places
+        .groupBy(*[F.col(c).alias(f"f_{c}") for c in KEY])
         .agg(
-            F.count(F.when(closing, 1)).alias("copies"),
-            F.max(F.when(closing, F.col("start"))).cast("long").alias("n_words"),
-            F.count(base_place).alias("n_places"),
+            F.count(base_place).alias("n_base"),
             F.min(base_place).cast("long").alias("first_word"),
             F.max(base_place).cast("long").alias("last_word"),
             joined(F.when(F.col("base"), F.col("label"))).alias("base_labels"),
             joined(F.when(kept, F.col("label"))).alias("labels"),
-            F.coalesce(F.max(F.when(kept, F.col("share"))), F.lit(0.0)).alias("score"),
-        )
-        .withColumn("_copy", F.explode(F.expr("sequence(1L, copies)")))
-        .select(
-            "doc_id",
-            "n_words",
-            F.expr("n_places div copies").alias("n_base"),
-            "first_word",
-            "last_word",
-            "base_labels",
-            "labels",
-            F.col("score").cast("double").alias("score"),
+            F.max(F.when(kept, F.col("share"))).alias("score"),
         )
     )
+    return files.select("doc_id", *KEY, "n_words").join(small(cut(found)), [F.col(c) == F.col(f"f_{c}") for c in KEY], "left").select(
+        "doc_id",
+        "n_words",
+        F.coalesce("n_base", F.lit(0)).cast("long").alias("n_base"),
+        "first_word",
+        "last_word",
+        F.coalesce("base_labels", F.lit("")).alias("base_labels"),
+        F.coalesce("labels", F.lit("")).alias("labels"),
+        F.coalesce("score", F.lit(0.0)).cast("double").alias("score"),
+    )

@@ -1,41 +1,35 @@
-"""A document-sharded positional index for phrase look-ups, in DataFrame operations only.
+"""A positional inverted index over documents, in DataFrame operations only.
 
-Each document's token positions are the postings.  A phrase is looked up by its
-rarest term, as counted over all documents; the posting's position less the
-term's place in the phrase is the phrase's start, at which the other terms'
-postings are intersected.  Only rows that hold a rarest term get as far.
+Texts are split into words once and stored.  Terms are counted over all of
+them, and for the rarest terms of each phrase the postings are stored: term,
+document, places.  A phrase is looked up from its rarest term's list on; the
+lists of the next ones, less their places in the phrase, are intersected with
+it within each document.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandweave.llm.common import cut
+from strandweave.llm.common import cut, row_key, small, stored, words
 
-#: Phrases that one broadcast block holds at most; more phrases take more blocks.
-BLOCK = 200_000
+#: Terms of a phrase whose lists are intersected.
+ANCHORS = 3
+KEY = ["row_hash", "row_chars"]
 
 
-def term_counts(tokens: DataFrame, vocabulary: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Postings of each term of ``vocabulary`` (term) over all of ``tokens`` (words).
+def tokenized(docs: DataFrame) -> DataFrame:
+    """doc_id, row_hash, row_chars (the row's key) and words of each row of ``docs`` (doc_id, text), stored."""
+    return stored(docs.select("doc_id", *row_key("doc_id", "text"), words(F.col("text")).alias("words")), "tokens")
 
-    Terms without a posting are absent.  Beyond ``block`` terms the documents
-    are read once for each block.
-    """
-    n = vocabulary.count()
-    parts = max(1, -(-n // block))
-    # explode() would add a filter on the size of words, which splits each text twice
-    exploded = tokens.select(F.explode_outer("words").alias("term"))
-    found = None
-    for i in range(parts):
-        some = vocabulary if parts == 1 else vocabulary.where(F.pmod(F.xxhash64("term"), F.lit(parts)) == i)
-        one = exploded.join(F.broadcast(some), "term").groupBy("term").agg(F.count(F.lit(1)).alias("postings"))
-        found = one if found is None else found.unionByName(one)
-    return found
-
-
-def rarest_terms(phrases: DataFrame, counts: DataFrame, keep: int = 3) -> DataFrame:
+
+def term_counts(tokens: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """How often each term of ``vocabulary`` (term) stands in ``tokens`` (words); terms that never do are absent."""
+    return tokens.select(F.explode("words").alias("term")).join(small(vocabulary), "term").groupBy("term").agg(F.count(F.lit(1)).alias("postings"))
+
+
+def rarest_terms(phrases: DataFrame, counts: DataFrame, keep: int = ANCHORS) -> DataFrame:
     """Adds ``anchors``: up to ``keep`` of each phrase's terms with their places, rarest first.
 
     ``phrases`` has ``phrase_id`` and ``terms``.  A phrase with a term that no
@@ -52,39 +46,44 @@ def rarest_terms(phrases: DataFrame, counts: DataFrame, keep: int = 3) -> DataFr
     return phrases.join(by_term, "phrase_id")
 
 
-def look_up(tokens: DataFrame, phrases: DataFrame, keep_if: Column | None = None, block: int = BLOCK) -> DataFrame:
-    """One row for each posting of a phrase's rarest term at which the phrase stands, and one closing row per document.
+def postings(tokens: DataFrame, terms: DataFrame) -> DataFrame:
+    """The inverted index of ``terms`` (term): term, row_hash, row_chars, places; one row per term and document, stored.
 
-    ``tokens`` has ``words`` and any identifying columns; ``phrases`` has
-    ``terms``, ``anchors`` and any more.  Adds ``start`` and ``exact``.  The
-    closing row has ``start`` = the number of words and null in the phrases'
-    columns, so that documents without a match are kept without another scan.
-    ``keep_if`` is a condition on further rows to keep, over ``words``,
-    ``start`` and the phrases' columns, with ``exact`` false.
+    A term's list so has as many rows as documents hold it, and a term that
+    most documents hold is split between tasks.
     """
-    phrases = cut(phrases.withColumn("anchor", F.col("anchors")[0]["term"]))
-    parts = max(1, -(-phrases.count() // block))
-    ids = [c for c in tokens.columns if c != "words"]
-    shown = [c for c in phrases.columns if c not in ("anchor", "anchors")]
-    closing = tokens.sparkSession.range(1).select(
-        *[
-            (F.lit("") if f.name == "anchor" else F.lit(None).cast(f.dataType)).alias(f.name)
-            for f in phrases.schema.fields
-        ]
-    )
-    postings = tokens.select(*ids, "words", F.posexplode(F.array_append("words", F.lit(""))).alias("at", "anchor"))
-    start = F.when(F.col("anchor") == "", F.col("at")).otherwise(F.col("at") - F.col("anchors")[0]["at"])
-    exact = (F.col("start") >= 0) & (
-        F.when(F.col("start") >= 0, F.slice("words", F.col("start") + 1, F.size("terms"))) == F.col("terms")
-    )
-    found = None
-    for i in range(parts):
-        some = phrases if parts == 1 else phrases.where(F.pmod(F.xxhash64("anchor"), F.lit(parts)) == i)
-        if i == 0:
-            some = some.unionByName(closing)
-        one = postings.join(F.broadcast(some), "anchor").withColumn("start", start)
-        one = one.withColumn("exact", F.coalesce(exact, F.lit(False)))
-        also = F.col("exact") | (F.col("anchor") == "")
-        one = one.where(also if keep_if is None else also | keep_if)
-        found = one if found is None else found.unionByName(one)
-    return found.select(*ids, *shown, "words", "anchors", "start", "exact")
+    each = tokens.select(*KEY, F.posexplode("words").alias("at", "term")).join(small(terms), "term")
+    return stored(each.groupBy("term", *KEY).agg(F.sort_array(F.collect_set("at")).alias("places")), "postings")
+
+
+def intersect(index: DataFrame, phrases: DataFrame, near: int) -> DataFrame:
+    """Where the rarest terms of phrases meet in a document: KEY, ``phrases``' columns, exact, near.
+
+    ``exact`` holds the starts that the lists of all of a phrase's anchors
+    agree on, ``near`` the places of the rarest anchor with each of the others
+    within ``near`` words; it is null for phrases of fewer terms than ANCHORS.
+    Phrases that share their anchors are looked up together.
+    """
+    anchor = lambda k: F.get("anchors", F.lit(k))
+    probe = [anchor(k)["term"].alias(f"t{k}") for k in range(ANCHORS)]
+    probe += [(anchor(k)["at"] - anchor(0)["at"]).alias(f"d{k}") for k in range(1, ANCHORS)]
+    names = [f"t{k}" for k in range(ANCHORS)] + [f"d{k}" for k in range(1, ANCHORS)]
+    keyed = cut(phrases.select("*", *probe))
+    found = index.join(small(cut(keyed.select(*names).distinct())), F.col("term") == F.col("t0"))
+    found = found.select(*KEY, *names, F.col("places").alias("exact"), F.col("places").alias("near"))
+    for k in range(1, ANCHORS):
+        other = index.select(F.col("term").alias("other"), *[F.col(c).alias(f"o_{c}") for c in KEY], F.col("places").alias("more"))
+        found = found.join(other, [F.col(f"t{k}") == F.col("other"), *[F.col(c) == F.col(f"o_{c}") for c in KEY]], "left")
+        around = F.expr(f"flatten(transform(more, y -> sequence(y - {near}, y + {near})))")
+        shifted = F.expr(f"transform(more, y -> y - d{k})")
+        none = F.col(f"t{k}").isNull()
+        found = found.select(
+            *KEY,
+            *names,
+            F.when(none, F.col("exact")).otherwise(F.array_intersect("exact", shifted)).alias("exact"),
+            F.when(~none, F.array_intersect("near", around)).alias("near"),
+        ).where(f"t{k} is null or size(exact) > 0 or size(near) > 0")
+    again = keyed.select(*[F.col(c).alias(f"p_{c}") for c in names], *phrases.columns)
+    same = [F.col(c).eqNullSafe(F.col(f"p_{c}")) for c in names]
+    starts = F.filter(F.transform("exact", lambda x: x - anchor(0)["at"]), lambda x: x >= 0)
+    return found.join(small(again), same).select(*KEY, *phrases.columns, starts.alias("exact"), "near")

@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandweave.llm.common import collect_garbage, discard, stored
+from strandweave.llm.common import discard, stored
 
 WINDOW, ANCHOR = 20, 8
 #: Occurrences from which on an anchor is hot.
@@ -327,10 +327,8 @@ def dedup(docs: DataFrame) -> DataFrame:
     shards = max(1, (runs.agg(F.sum(F.size("h"))).first()[0] or 0) // SHARD)
     # tables that stand on the other side of a join are written first: a hot anchor or text can then be split
     recurring = stored(_recurring(runs), "recurring")
-    collect_garbage(docs.sparkSession)
     by_text = stored(_by_text(runs, recurring), "runs")
     discard(runs)
-    collect_garbage(docs.sparkSession)
     keeps = (
         keyed.join(by_text, F.col("x1") == F.col("t"))
         .select("doc_id", "x1", "x2", "text", "runs")
@@ -343,8 +341,6 @@ def dedup(docs: DataFrame) -> DataFrame:
     )
     known = stored(by_text.join(keeps, F.col("t") == F.col("k"), "left").select("t", "runs", "keeps"), "known")
     discard(by_text)
-    del keeps
-    collect_garbage(docs.sparkSession)
     return (
         keyed.join(known, F.col("x1") == F.col("t"), "left")
         .select("doc_id", "x2", "text", "runs", "keeps")

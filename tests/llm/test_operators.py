@@ -103,14 +103,12 @@ def test_decontaminate(spark):
     assert decontaminate.judge(table(spark, DOCS), none).where("contaminated").count() == 0
 
 
-def test_decontaminate_in_blocks(spark, monkeypatch):
-    from strandweave.llm import positional
+def test_decontaminate_without_broadcasts(spark, monkeypatch):
+    from strandweave.llm import common
 
     bench = spark.createDataFrame(BENCH, "item_id long, text string")
     want = sorted(map(repr, decontaminate.judge(table(spark, DOCS), bench).collect()))
-    look_up, count = positional.look_up, positional.term_counts
-    monkeypatch.setattr(decontaminate, "look_up", lambda *a, **k: look_up(*a, **k, block=5))
-    monkeypatch.setattr(decontaminate, "term_counts", lambda *a, **k: count(*a, **k, block=7))
+    monkeypatch.setattr(common, "BROADCAST", 0)
     assert sorted(map(repr, decontaminate.judge(table(spark, DOCS), bench).collect())) == want
 
 
