@@ -15,12 +15,18 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 #: After A-Z are lower-cased: runs of digits, a-z and everything outside ASCII.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: All other characters, as they are and as a pattern.
-BETWEEN, BETWEENS = "".join(map(chr, [*range(0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])), WORD.replace("^", "")
+#: What stands between words.
+BETWEEN = WORD.replace("^", "")
+
+
+#: A table of fewer bytes is dealt out to all cores, as its file may be one row group, which is one task.
+SPREAD = 32_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(spark.sparkContext.defaultParallelism) if 1_000_000 < size < SPREAD else df
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -48,12 +54,6 @@ def _shuffles_end(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(key, old)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage of a small table with a reliable checkpoint."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage of a large table by writing it to the shared folder; it goes when the session ends, and its shuffles when it is written."""
     spark = df.sparkSession
@@ -67,6 +67,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """The same for a small table; a checkpoint would work it out twice."""
+    return stored(df, "cut")
+
+
 def discard(df: DataFrame) -> None:
     """Deletes a stored table of which nothing more will be read."""
     spark = df.sparkSession
@@ -94,8 +99,7 @@ def ascii_lower(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """The runs of WORD; split at the rest, which is faster than to extract them."""
-    inner = F.btrim(ascii_lower(text), F.lit(BETWEEN))
-    return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, BETWEENS, -1))
+    return F.array_remove(F.split(ascii_lower(text), BETWEEN, -1), "")
 
 
 def row_key(*columns: str) -> list[Column]:

@@ -39,9 +39,9 @@ def matches(tokens: DataFrame, benchmark: DataFrame, window: int = WINDOW, near:
     where the index finds nothing.
     """
     phrases = cut(windows(benchmark, window))
-    vocabulary = cut(phrases.select(F.explode("terms").alias("term")).distinct())
+    vocabulary = phrases.select(F.explode("terms").alias("term")).distinct()
     ranked = cut(rarest_terms(phrases, term_counts(tokens, vocabulary)))
-    index = postings(tokens, cut(ranked.select(F.explode("anchors.term").alias("term")).distinct()))
+    index = postings(tokens, ranked.select(F.explode("anchors.term").alias("term")).distinct())
     met = intersect(index, ranked.select("terms", "items", "anchors"), near)
     one = F.struct("terms", "items", "exact", F.coalesce("near", F.array().cast("array<int>")).alias("near"))
     met = cut(met.groupBy(*[F.col(c).alias(f"m_{c}") for c in KEY]).agg(F.collect_list(one).alias("met")))

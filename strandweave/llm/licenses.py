@@ -86,11 +86,17 @@ def places(files: DataFrame, templates: list[tuple]) -> DataFrame:
     in_files = held.groupBy("term").agg(F.count(F.lit(1)).alias("postings"))
     ranked = rarest_terms(phrases, in_files, keep=1).withColumn("anchor", F.col("anchors")[0])
     looked_up = cut(ranked.select("*", F.col("anchor.term").alias("word"), F.col("anchor.at").alias("in_key")).drop("anchor", "anchors"))
+    rarest = [r["word"] for r in looked_up.select("word").distinct().collect()]  # one for each template at most
+    wide = max(len(t) for *_, t, _ in templates)
+    at_rarest = F.filter(F.sequence(F.lit(0), F.size("hits") - 1), lambda k: F.get("hits", k)["term"].isin(rarest))
+    # only the neighbours of a rarest word go on; the words of a template that stands here are among them
+    near = F.transform(at_rarest, lambda k: F.struct(F.least(k, F.lit(wide)).alias("k"), F.slice("hits", F.greatest(k - wide, F.lit(0)) + 1, F.lit(2 * wide + 1)).alias("hits")))
     found = (
-        files.select(*KEY, "hits", F.posexplode("hits").alias("k", "hit"))
+        files.where("size(hits) > 0")
+        .select(*KEY, F.inline(near))
+        .withColumn("hit", F.get("hits", "k"))
         .join(small(looked_up), F.col("hit.term") == F.col("word"))
         .withColumn("start", F.col("hit.at") - F.col("in_key"))
-        # the words of a phrase that stands here are neighbours among the licence words, too
         .withColumn("own", F.when(F.col("k") >= F.col("in_key"), F.slice("hits", F.col("k") - F.col("in_key") + 1, F.size("terms"))))
         .where("size(own) = size(terms) and own[0].at = start and own[size(own) - 1].at = start + size(own) - 1")
         .where(F.transform("own", lambda x: x["term"]) == F.col("terms"))

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandweave.llm.common import cut, row_key, small, stored, words
+from strandweave.llm.common import row_key, small, stored, words
 
 #: Terms of a phrase whose lists are intersected.
 ANCHORS = 3
@@ -68,8 +68,8 @@ def intersect(index: DataFrame, phrases: DataFrame, near: int) -> DataFrame:
     probe = [anchor(k)["term"].alias(f"t{k}") for k in range(ANCHORS)]
     probe += [(anchor(k)["at"] - anchor(0)["at"]).alias(f"d{k}") for k in range(1, ANCHORS)]
     names = [f"t{k}" for k in range(ANCHORS)] + [f"d{k}" for k in range(1, ANCHORS)]
-    keyed = cut(phrases.select("*", *probe))
-    found = index.join(small(cut(keyed.select(*names).distinct())), F.col("term") == F.col("t0"))
+    keyed = phrases.select("*", *probe)
+    found = index.join(small(keyed.select(*names).distinct()), F.col("term") == F.col("t0"))
     found = found.select(*KEY, *names, F.col("places").alias("exact"), F.col("places").alias("near"))
     for k in range(1, ANCHORS):
         other = index.select(F.col("term").alias("other"), *[F.col(c).alias(f"o_{c}") for c in KEY], F.col("places").alias("more"))
