@@ -1,6 +1,6 @@
 """Vector best-fit packing of tokenized documents.
 
-A piece's vector (tokens, documents, attention cost) follows from its length
+A piece's vector (tokens, documents, tiles of attention) follows from its length
 alone, so bins are planned over the number of pieces of each length, which has
 at most as many rows as a sequence has tokens, whatever the number of
 documents.  The plan places runs of equally long pieces; each piece then finds
@@ -9,7 +9,7 @@ its place by its rank among those of its length.
 
 from __future__ import annotations
 
-import bisect
+import heapq
 import os
 import re
 import zlib
@@ -27,17 +27,26 @@ from strandweave.llm.common import stored
 SEQUENCE = 2048
 VOCABULARY = "byte_bpe_50k"
 END_ID = 0
+#: Attention is worked out in tiles of so many tokens each way.
+TILE = 64
+
+Vector = tuple[int, int, int]
 
 
 @dataclass(frozen=True)
 class Capacity:
-    """What a sequence holds at most; a piece of n tokens takes n, 1 and n * n."""
+    """What a sequence holds at most, and how bins are chosen.
+
+    A piece of n tokens takes n tokens, one document and ceil(n / TILE)**2
+    tiles of attention.  A piece of a full sequence takes 1024 tiles, so the
+    least capacities with which each piece fits are a document and 1024 tiles.
+    """
 
     tokens: int = SEQUENCE
-    documents: int = SEQUENCE
-    attention: int = SEQUENCE * SEQUENCE
-    #: Weights of the three in the score.
-    weights: tuple[float, float, float] = (1.0, 0.0, 0.0)
+    documents: int = 256
+    tiles: int = (SEQUENCE // TILE) ** 2 + 64
+    #: Weights of the three, each as a share of its capacity, in the score.
+    weights: tuple[float, float, float] = (1.0, 0.5, 0.5)
     #: "dot": the largest weighted dot product of a piece and what is left; "norm": the smallest weighted norm of what would be left.
     rule: str = "norm"
 
@@ -47,47 +56,42 @@ def plan(counts: dict[int, int], capacity: Capacity = Capacity()) -> tuple[list[
 
     Rows (length, first rank, pieces, first sequence, offset): the pieces of
     these ranks lie in consecutive sequences from the first one on.  Longest
-    first, each into the bins with the best score under every constraint.
+    first, each into the bins with the best score among those that hold it
+    under every constraint.  Bins with the same rest are alike and go
+    together, so that the work depends on the lengths, not on the pieces.
     """
+    full = (capacity.tokens, capacity.documents, capacity.tiles)
+    weights = np.array(capacity.weights) / np.array(full, float) ** 2
     places: list[tuple[int, int, int, int, int]] = []
-    # bins with the same rest are alike: rest -> runs of sequences (first, number)
-    bins: dict[tuple[int, int, int], list[tuple[int, int]]] = {}
-    by_tokens: list[tuple[int, int, int]] = []
+    bins: dict[Vector, list[tuple[int, int]]] = {}  # rest: runs of sequences (first, number)
     made = 0
-    full = (capacity.tokens, capacity.documents, capacity.attention)
-    only_tokens = capacity.weights[1:] == (0.0, 0.0) and capacity.rule == "norm"
-
-    def put(rest: tuple[int, int, int], run: tuple[int, int]) -> None:
-        if rest[0] <= 0 or rest[1] <= 0 or rest[2] <= 0:
-            return
-        if rest not in bins:
-            bins[rest] = []
-            bisect.insort(by_tokens, rest)
-        bins[rest].append(run)
-
-    def score(rest: tuple[int, int, int], need: tuple[int, int, int]) -> float:
-        parts = [(r / f, n / f) for r, n, f in zip(rest, need, full, strict=True)]
+
+    def score(rests: np.ndarray, need: Vector) -> np.ndarray:
         if capacity.rule == "dot":
-            return -sum(w * r * n for w, (r, n) in zip(capacity.weights, parts, strict=True))
-        return sum(w * (r - n) ** 2 for w, (r, n) in zip(capacity.weights, parts, strict=True))
+            return -(rests * np.array(need)) @ weights
+        return (rests - np.array(need)) ** 2 @ weights
 
-    def best(need: tuple[int, int, int]) -> tuple[int, int, int] | None:
-        fitting = (
-            r for r in by_tokens[bisect.bisect_left(by_tokens, need) :] if r[1] >= need[1] and r[2] >= need[2]
-        )
-        if only_tokens:  # the fewest tokens left is the smallest norm
-            return next(fitting, None)
-        return min(fitting, key=lambda r: (score(r, need), r), default=None)
+    def fits(need: Vector, rest: Vector) -> bool:
+        return all(n <= r for n, r in zip(need, rest, strict=True))
 
     for length in sorted(counts, reverse=True):
-        left, rank, need = counts[length], 0, (length, 1, length * length)
-        if any(n > f for n, f in zip(need, full, strict=True)):
+        left, rank, need = counts[length], 0, (length, 1, (-(-length // TILE)) ** 2)
+        if not fits(need, full):
             raise ValueError(f"a piece of {length} tokens fits no sequence")
+        open_bins = [r for r in bins if r[0] >= length and r[1] and r[2] >= need[2]]
+        best = list(zip(score(np.array(open_bins), need).tolist(), open_bins, strict=True)) if open_bins else []
+        heapq.heapify(best)
+
+        def put(rest: Vector, run: tuple[int, int]) -> None:
+            if min(rest) > 0:
+                bins.setdefault(rest, []).append(run)
+                if fits(need, rest):
+                    heapq.heappush(best, (float(score(np.array(rest), need)), rest))
+
         while left:
-            rest = best(need)
-            if rest is None:
+            if not best:
                 # as many pieces as fit together open bins of their own
-                each = min(full[0] // length, full[1], full[2] // (length * length))
+                each = min(f // x for f, x in zip(full, need, strict=True))
                 n = -(-left // each)
                 for k in range(each):
                     here = min(n, left)
@@ -102,13 +106,16 @@ def plan(counts: dict[int, int], capacity: Capacity = Capacity()) -> tuple[list[
                             put(used(k), (made + here, n - here))
                 made += n
                 continue
+            rest = best[0][1]
+            if rest not in bins:  # all of its bins have been used
+                heapq.heappop(best)
+                continue
             first, n = bins[rest].pop()
             here = min(n, left)
             if here < n:
                 bins[rest].append((first + here, n - here))
             if not bins[rest]:
                 del bins[rest]
-                by_tokens.pop(bisect.bisect_left(by_tokens, rest))
             places.append((length, rank, here, first, full[0] - rest[0]))
             put(tuple(r - x for r, x in zip(rest, need, strict=True)), (first, here))
             rank, left = rank + here, left - here
@@ -125,11 +132,12 @@ class Encoder:
     """Ids as ``tokenizers`` gives them for a vocabulary file.
 
     Texts of Latin letters go to ``tiktoken`` with the same vocabulary, which
-    is faster and gives the same ids; all others, and those that spell a
-    special token, go to ``tokenizers`` itself.
+    takes a quarter of the time and gives the same ids; all others, those that
+    spell a special token and those with very long runs of blanks or other
+    characters, which make ``tiktoken`` panic, go to ``tokenizers`` itself.
     """
 
-    other = re.compile("[^\\x00-\\u024f]|<\\|endoftext\\|>")
+    other = re.compile("[^\\x00-\\u024f]|<\\|endoftext\\|>|\\s{1000}|\\S{20000}")
 
     def __init__(self, name: str = VOCABULARY):
         import base64

@@ -420,7 +420,34 @@ def test_secret_models_on_samples_held_out(spark):
     assert counts[True, True] >= 0.97 * 1500 and counts.get((False, True), 0) <= 0.005 * 1500
 
 
-@pytest.mark.parametrize("capacity", [packing.Capacity(), packing.Capacity(documents=3), packing.Capacity(attention=1_500_000, weights=(1.0, 0.5, 0.5), rule="dot", tokens=1024)])
+def brute_bins(counts, capacity):
+    """Vector best fit piece by piece; equal scores by the smallest rest."""
+    full, bins = (capacity.tokens, capacity.documents, capacity.tiles), []
+    for n in sorted(counts, reverse=True):
+        need = (n, 1, (-(-n // packing.TILE)) ** 2)
+        for _ in range(counts[n]):
+            def score(rest):
+                parts = [w * (r * x if capacity.rule == "dot" else (r - x) ** 2) / f**2 for w, r, x, f in zip(capacity.weights, rest, need, full)]
+                return (-sum(parts) if capacity.rule == "dot" else sum(parts)), rest
+            fitting = [b for b in bins if all(r >= x for r, x in zip(b, need))]
+            at = min(fitting, key=score, default=None)
+            if at is None:
+                at = full
+            else:
+                bins.remove(at)
+            bins.append(tuple(r - x for r, x in zip(at, need)))
+    return len(bins)
+
+
+def test_plan_binds():
+    """Each capacity binds, and what it forbids goes to further sequences."""
+    assert packing.plan({1: 2048})[1] == 8  # 256 documents each
+    assert packing.plan({1857: 1, 1: 191})[1] == 2  # 900 tiles and 191 are over 1088
+    assert packing.plan({1857: 1, 1: 188})[1] == 1
+    assert packing.plan({1025: 2, 1023: 2})[1] == 2
+
+
+@pytest.mark.parametrize("capacity", [packing.Capacity(), packing.Capacity(documents=3), packing.Capacity(tiles=300, weights=(1.0, 0.5, 0.5), rule="dot", tokens=1024)])
 def test_plan(capacity):
     rng = random.Random(0)
     counts = collections.Counter(min(capacity.tokens, int(rng.paretovariate(0.6) * 20)) for _ in range(3000))
@@ -434,7 +461,8 @@ def test_plan(capacity):
     for held in bins.values():
         held.sort()
         assert [o for o, _ in held] == [sum(n for _, n in held[:k]) for k in range(len(held))]
-        assert sum(n for _, n in held) <= capacity.tokens and len(held) <= capacity.documents and sum(n * n for _, n in held) <= capacity.attention
+        assert sum(n for _, n in held) <= capacity.tokens and len(held) <= capacity.documents and sum((-(-n // packing.TILE)) ** 2 for _, n in held) <= capacity.tiles
+    assert made <= brute_bins(counts, capacity)
     if capacity == packing.Capacity():
         assert made <= 1.01 * -(-sum(n * c for n, c in counts.items()) // capacity.tokens) + 1
 
@@ -444,7 +472,7 @@ def test_packing(spark):
     from tokenizers import Tokenizer
 
     exact = Tokenizer.from_file(path("byte_bpe_50k.json"))
-    rows = [*DOCS, (60, "<|endoftext|> 中文 и русский ́ text"), (61, "a" * 5000)]
+    rows = [*DOCS, (60, "<|endoftext|> 中文 и русский ́ text"), (61, "a" * 5000), (62, " " * 1_000_000), (63, "\n" * 1_000_000 + "x"), (64, "ab" * 150_000)]
     found = packing.pack(table(spark, rows)).collect()
     want = collections.Counter()
     for i, text in rows:
