@@ -160,9 +160,9 @@ def _op4() -> str:
     FROM (SELECT n, m, spread - m * m - m * (1 - m) * groups / n AS between_groups FROM (
       SELECT sum(n)::DOUBLE AS n, sum(bad) / sum(n)::DOUBLE AS m, count(*) FILTER (n > 0) AS groups,
         sum(bad::DOUBLE * bad / n) FILTER (n > 0) / sum(n) AS spread FROM {t})))"""
-    two = ", ".join(f"'{x}'" for x in url_reputation.TWO_LABEL_SUFFIXES)
+    address, x = r"regexp_matches({0}, '^[0-9.]*[0-9]$|^\[')", url_reputation.MAX_BAD
     return rf"""
-WITH lab AS (
+WITH RECURSIVE lab AS (
   SELECT doc_id AS page_id, max(CASE WHEN toxic = 1 OR quality = 0 THEN 1 ELSE 0 END) AS bad
   FROM labels WHERE doc_id IS NOT NULL AND (toxic = 1 OR quality = 0) IS NOT NULL GROUP BY doc_id
 ),
@@ -171,22 +171,33 @@ pg AS (
     coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages
 ),
 hosts AS (
-  SELECT *, CASE WHEN domain LIKE '%.%' THEN regexp_replace(domain, '^[^.]*\.', '') ELSE domain END AS suffix FROM (
-    SELECT *, CASE WHEN array_to_string(parts[-2:], '.') IN ({two}) THEN array_to_string(parts[-3:], '.') ELSE array_to_string(parts[-2:], '.') END AS domain
-    FROM (SELECT host, string_split(host, '.') AS parts, count(bad) AS n, coalesce(sum(bad), 0) AS bad FROM pg LEFT JOIN lab USING (page_id) GROUP BY host))
+  SELECT *, CASE WHEN {address.format("domain")} THEN '{url_reputation.ADDRESS}' WHEN domain LIKE '%.%' THEN regexp_replace(domain, '^[^.]*\.', '') ELSE domain END AS suffix FROM (
+    SELECT *, CASE WHEN {address.format("name")} THEN name WHEN regexp_matches(array_to_string(parts[-2:], '.'), '^({url_reputation.SECOND_LEVEL})\.[a-z]{{2}}$')
+      THEN array_to_string(parts[-3:], '.') ELSE array_to_string(parts[-2:], '.') END AS domain
+    FROM (SELECT *, string_split(name, '.') AS parts FROM (SELECT host, regexp_replace(regexp_replace(host, '^.*@', ''), '(:[0-9]*|\.)$', '') AS name,
+      count(bad) AS n, coalesce(sum(bad), 0) AS bad FROM pg LEFT JOIN lab USING (page_id) GROUP BY host)))
 ),
 domains AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY domain, suffix),
 suffixes AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM domains GROUP BY suffix),
 sr AS (SELECT suffix, (bad + s * (SELECT (coalesce(sum(bad), 0) + 0.5) / (coalesce(sum(n), 0) + 1) FROM suffixes)) / (n + s) AS rate
   FROM suffixes, (SELECT {strength("suffixes")} AS s)),
 dr AS (SELECT domain, (bad + s * sr.rate) / (n + s) AS rate FROM domains JOIN sr USING (suffix), (SELECT {strength("domains")} AS s)),
-hr AS (
-  SELECT host, rate, rate - {url_reputation.Z} * sqrt(rate * (1 - rate) / (w + 1)) AS at_least FROM (
-    SELECT host, (bad + s * dr.rate) / (n + s) AS rate, n + s AS w FROM hosts JOIN dr USING (domain), (SELECT {strength("hosts")} AS s))
-)
+hr AS (SELECT host, (bad + s * dr.rate) / (n + s) AS rate, bad + s * dr.rate AS a, n - bad + s * (1 - dr.rate) AS b
+  FROM hosts JOIN dr USING (domain), (SELECT {strength("hosts")} AS s)),
+side AS (SELECT host, rate, {x} < (a + 1) / (a + b + 2) AS low, CASE WHEN {x} < (a + 1) / (a + b + 2) THEN a ELSE b END AS a,
+  CASE WHEN {x} < (a + 1) / (a + b + 2) THEN b ELSE a END AS b, CASE WHEN {x} < (a + 1) / (a + b + 2) THEN {x} ELSE 1 - {x} END AS x FROM hr),
+cf AS (
+  SELECT host, 0 AS k, 1e300::DOUBLE AS c, 1::DOUBLE AS d, 1::DOUBLE AS h, a, b, x FROM side
+  UNION ALL SELECT host, k + 1, 1 + e / c, 1 / (1 + e * d), h * (1 + e / c) / (1 + e * d), a, b, x FROM (
+    SELECT *, CASE WHEN k % 2 = 1 THEN (k + 1) // 2 * (b - (k + 1) // 2) ELSE -(a + k // 2) * (a + b + k // 2) END * x / ((a + k) * (a + k + 1)) AS e
+    FROM cf WHERE k < floor(100 + 3 * sqrt(a + b)))
+),
+tail AS (SELECT host, low, rate, exp(a * ln(x) + b * ln(1 - x) - lgamma(a) - lgamma(b) + lgamma(a + b)) / a * h AS p
+  FROM side JOIN (SELECT host, arg_max(h, k) AS h FROM cf GROUP BY host) USING (host)),
+rep AS (SELECT host, round(rate, 6) AS bad_rate, round(CASE WHEN low THEN 1 - p ELSE p END, 6) AS p_bad FROM tail)
 SELECT page_id, host, path, CASE {cases("rule")} END AS rule,
-  CASE {cases("verdict")} WHEN round(at_least, 6) > {url_reputation.MAX_BAD} THEN 'block' ELSE 'allow' END AS verdict, round(rate, 6) AS bad_rate
-FROM pg JOIN hr USING (host)"""
+  CASE {cases("verdict")} WHEN p_bad > {url_reputation.SURE} THEN 'block' ELSE 'allow' END AS verdict, bad_rate, p_bad
+FROM pg JOIN rep USING (host)"""
 
 
 def _op5() -> str:

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandweave.llm.common import cut, stored
+from strandweave.llm.common import cut, discard, small, stored
 
 SHINGLE, SEED, RADIUS = 3, 42, 3
 #: Of fingerprints within RADIUS bits, one of RADIUS + 1 blocks is the same; each block's value is a shard.
@@ -111,9 +111,11 @@ def merge(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each fingerprint with the first of its component in its shard; shards come one after another."""
+    """Links that connect each component of a shard, as a binary tree, so that no node has many; shards come one after another."""
     names = ["shard", "sub", "fp"]
     kept: list[np.ndarray] = [np.zeros(0, np.int64) for _ in names]
+    parts: list[list[np.ndarray]] = []
+    size, least = 0, 100_000
 
     def linked(shard: np.ndarray, sub: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
         order = np.lexsort((sub, shard))
@@ -123,21 +125,28 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if len(fp):
             for a, b in Forest(fp, np.cumsum(new)).matches():
                 label = merge(label, a, b)
-        own = np.flatnonzero(label != np.arange(len(fp)))
+        order = np.argsort(label, kind="stable")
+        first = np.flatnonzero(np.r_[True, np.diff(label[order]) != 0][: len(fp)])
+        place = np.arange(len(fp)) - np.repeat(first, np.diff(np.r_[first, len(fp)]))
+        own = np.flatnonzero(place)
+        parent = order[own - place[own] + (place[own] - 1) // 2]
         return pa.RecordBatch.from_arrays(
-            [pa.array(fp[own].view(np.int64)), pa.array(fp[label[own]].view(np.int64))], names=["a", "b"]
+            [pa.array(fp[order[own]].view(np.int64)), pa.array(fp[parent].view(np.int64))], names=["a", "b"]
         )
 
     for batch in batches:
-        kept = [np.concatenate([k, batch.column(n).to_numpy(zero_copy_only=False)]) for k, n in zip(kept, names, strict=True)]
-        if len(kept[0]) < 100_000:
+        parts.append([batch.column(n).to_numpy(zero_copy_only=False) for n in names])
+        size += batch.num_rows
+        if size < least:
             continue
+        kept, parts = [np.concatenate(x) for x in zip(kept, *parts, strict=True)], []
         last = (kept[0] == kept[0][-1]) & (kept[1] == kept[1][-1])  # this shard may go on
-        whole = ~last
-        if whole.any():
-            yield linked(*(k[whole] for k in kept))
+        if not last.all():
+            yield linked(*(k[~last] for k in kept))
             kept = [k[last] for k in kept]
-    yield linked(*kept)
+        size = len(kept[0])
+        least = max(100_000, 2 * size)  # so that a large shard isn't copied with each batch
+    yield linked(*(np.concatenate(x) for x in zip(kept, *parts, strict=True)))
 
 
 def links(distinct: DataFrame) -> DataFrame:
@@ -145,7 +154,7 @@ def links(distinct: DataFrame) -> DataFrame:
 
     Each fingerprint goes to one shard for each of its blocks; a shard's
     BK-tree finds all pairs within the radius, of which a link for each
-    fingerprint at most leaves the task.  Shards grow with the data, so they
+    fingerprint at most leaves the task, three at most with any of them.  Shards grow with the data, so they
     are dealt to tasks, not broadcast; only the numbers of the hot ones are,
     of which there are at most BLOCKS * 2**16.
     """
@@ -183,17 +192,24 @@ def components(edges: DataFrame) -> DataFrame:
     Roots only ever get smaller; rounds go on until none does, when
     neighbours have the same root.  Paths, trees and caterpillars of n nodes,
     in order and numbered at random, took no more than log2(n) + 4 rounds up
-    to n = 1,000,000.
+    to n = 1,000,000.  Roots are joined only where they are no roots any more,
+    so the root of a large component, which is in many rows, isn't.
     """
     both = cut(edges.select("a", "b").union(edges.select("b", "a")).toDF("a", "b").distinct())
     after = cut(both.groupBy("a").agg(F.least("a", F.min("b")).alias("root")).withColumnRenamed("a", "node"))
     while True:
-        at = cut(after.select("node", "root").join(after.select(F.col("node").alias("n"), F.col("root").alias("up")), F.col("root") == F.col("n")).drop("n"))
+        ups = small(after.where("root != node").select(F.col("node").alias("n"), F.col("root").alias("to")))
+        at = after.join(ups, F.col("root") == F.col("n"), "left").select("node", "root", F.coalesce("to", "root").alias("up"))
         near = both.join(at.select("node", "up"), F.col("b") == F.col("node")).groupBy("a").agg(F.min("up").alias("near"))
-        better = at.join(near, F.col("node") == F.col("a")).select("node", "root", F.least("up", "near").alias("to"))
-        hooked = better.select(F.col("root").alias("node"), F.lit(None).cast("long").alias("root"), "to")
-        after = cut(better.union(hooked).groupBy("node").agg(F.max("root").alias("was"), F.min("to").alias("root")))
-        if after.where("root != was").isEmpty():
+        better = cut(at.join(near, F.col("node") == F.col("a")).select("node", "root", F.least("up", "near").alias("to")))
+        hooked = better.where("to < root").groupBy(F.col("root").alias("h")).agg(F.min("to").alias("hooked"))
+        new = F.least("to", F.coalesce("hooked", "to"))
+        step = cut(better.join(small(hooked), F.col("node") == F.col("h"), "left").select("node", new.alias("root"), (new < F.col("root")).alias("less")))
+        for old in (after, better):
+            discard(old)
+        after = step
+        if after.where("less").isEmpty():
+            discard(both)
             return after.select("node", "root")
 
 

@@ -159,6 +159,75 @@ def test_urls(spark):
     assert url_reputation.judge(pages.limit(0), outcomes).count() == 0
 
 
+def brute_above(limit, a, b, steps=200_000):
+    """The posterior by the midpoint rule over an angle, in which the ends are tame, or by the power series if they aren't."""
+    import math
+
+    if min(a, b) <= 0.5:
+        term, total = 1.0, 0.0
+        for n in range(400):
+            total += term / (a + n)
+            term *= (n + 1 - b) / (n + 1) * limit
+        return 1 - total * math.exp(a * math.log(limit) + math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b))
+    t = (np.arange(steps) + 0.5) * (math.pi / 2 / steps)
+    log = (2 * a - 1) * np.log(np.sin(t)) + (2 * b - 1) * np.log(np.cos(t))
+    density = np.exp(log - log.max())
+    return density[np.sin(t) ** 2 > limit].sum() / density.sum()
+
+
+def test_reputation(spark):
+    """Shrinkage and posterior of hosts, domains and suffixes, with ports, users, addresses and repeated rows, against brute force."""
+    from pyspark.sql import functions as F
+
+    rng, hosts = random.Random(2), ["a.bad.net", "b.bad.net:80", "new.bad.net", "good.net", "u@x.co.uk", "y.co.uk", "192.168.0.1", "10.0.0.1:8080", "one.org", ""]
+    rate = {h: (0.9 if "bad" in h else 0.1) for h in hosts}
+    rows = [(i, f"http://{h}/{i}") for i, h in enumerate(h for h in hosts for _ in range(1 if h == "new.bad.net" else 60))]
+    told = [(i, rng.random() < rate[u.split("/")[2]]) for i, u in rows if rng.random() < 0.7 and "new" not in u]
+    pages = spark.createDataFrame([(i, u, "clash", 1) for i, u in [*rows, rows[0]]], "page_id long, url string, host string, n int")
+    outcomes = spark.createDataFrame([(*t, "clash") for t in [*told, (None, True), (3, None)]], "page_id long, bad boolean, domain string")
+    got = {r.host: r for r in url_reputation.reputation(pages, outcomes).collect()}
+    label, counts = dict(told), {h: [0, 0] for h in hosts}
+    for i, u in [*rows, rows[0]]:
+        if i in label:
+            counts[u.split("/")[2]][0] += 1
+            counts[u.split("/")[2]][1] += label[i]
+    domain = {"a.bad.net": "bad.net", "b.bad.net:80": "bad.net", "new.bad.net": "bad.net", "good.net": "good.net", "u@x.co.uk": "x.co.uk", "y.co.uk": "y.co.uk", "192.168.0.1": "192.168.0.1", "10.0.0.1:8080": "10.0.0.1", "one.org": "one.org", "": ""}
+    suffix = {"bad.net": "net", "good.net": "net", "x.co.uk": "co.uk", "y.co.uk": "co.uk", "192.168.0.1": "address", "10.0.0.1": "address", "one.org": "org", "": ""}
+
+    def up(counts, parent):
+        out = {}
+        for k, (n, bad) in counts.items():
+            at = out.setdefault(parent[k], [0, 0])
+            at[0], at[1] = at[0] + n, at[1] + bad
+        return out
+
+    def strength(counts):
+        n, bad = (sum(x[k] for x in counts.values()) for k in (0, 1))
+        m = bad / n
+        some = [x for x in counts.values() if x[0]]
+        between = sum(b * b / k for k, b in some) / n - m * m - m * (1 - m) * len(some) / n
+        return min(max(m * (1 - m) / between - 1 if between > 1e-9 else 1000.0, 1.0), 1000.0)
+
+    by_domain = up(counts, domain)
+    by_suffix = up(by_domain, suffix)
+    overall = (sum(x[1] for x in by_suffix.values()) + 0.5) / (sum(x[0] for x in by_suffix.values()) + 1)
+    rates = lambda counts, prior: {k: (bad + strength(counts) * prior(k)) / (n + strength(counts)) for k, (n, bad) in counts.items()}
+    of_suffix = rates(by_suffix, lambda k: overall)
+    of_domain = rates(by_domain, lambda k: of_suffix[suffix[k]])
+    of_host, s = rates(counts, lambda k: of_domain[domain[k]]), strength(counts)
+    for h, (n, bad) in counts.items():
+        r, prior = got[h], of_domain[domain[h]]
+        assert (r.n, r.bad) == (n, bad) and abs(r.bad_rate - of_host[h]) < 2e-6
+        assert abs(r.p_bad - brute_above(0.5, bad + s * prior, n - bad + s * (1 - prior))) < 2e-5
+    judged = collections.Counter((r.host, r.verdict) for r in url_reputation.judge(pages, outcomes, rules=[]).collect())
+    assert judged["a.bad.net", "block"] == 61 and judged["good.net", "allow"] == 60 and sum(judged.values()) == len(rows) + 1
+    grid = [(a, b) for a in (0.05, 0.7, 3.0, 40.0, 900.0) for b in (0.05, 1.5, 30.0, 2000.0)]
+    for a, b, p in spark.createDataFrame(grid, "a double, b double").select("a", "b", url_reputation.above(0.3, F.col("a"), F.col("b"))).collect():
+        if min(a, b) > 0.5 or b < 30:
+            assert abs(p - brute_above(0.3, a, b)) < 2e-5
+        assert 0 <= p <= 1
+
+
 def test_warc(spark, tmp_path):
     pages = [(1, "http://a/ü\r\nx", "<p>ä</p>"), (2, None, "<p>ä</p>"), (3, "http://b", None), (4, "http://c", ""), (5, "http://d", "x" * 900_000), (6, "u", "\r\n\r\nWARC/1.1\r\n"), (None, "n", "x")]
     df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(2)
@@ -263,10 +332,16 @@ def test_simhash(spark, monkeypatch, shard):
     assert simhash.classes(table(spark, EMPTY)).count() == 0
 
 
-def test_components_of_long_paths(spark):
-    number = list(range(1300))
+@pytest.mark.parametrize("broadcast", [16_000_000, 0])
+def test_components_of_long_paths(spark, monkeypatch, broadcast):
+    from strandweave.llm import common
+
+    monkeypatch.setattr(common, "BROADCAST", broadcast)
+    number = list(range(6100))
     random.Random(7).shuffle(number)
-    paths = [number[:1000], number[1000:]]
+    low, high = list(range(10_000, 10_100)), list(range(20_000, 20_100))
+    basins = [*low, *reversed(high)] if broadcast else []  # two smallest roots, far from each other
+    paths = [p for p in ((number[:5000] if broadcast else number[:300]), number[5000:6000] if broadcast else number[5000:5050], basins) if p]
     edges = spark.createDataFrame([e for p in paths for e in zip(p, p[1:])], "a long, b long")
     got = {r.node: r.root for r in simhash.components(edges).collect()}
     assert got == {x: min(p) for p in paths for x in p}
