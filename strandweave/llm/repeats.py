@@ -4,9 +4,10 @@
     smallest hash.  Equal windows have equal anchors at the same place, so
     windows need comparing only where their anchor recurs.
 2.  The text around each recurring anchor, a segment, goes to the shard of its
-    anchor.  There windows that recur are confirmed word by word and compiled
-    to an automaton, through which the shard's segments are streamed to locate
-    every occurrence.
+    anchor; no other part of a document can hold a window that recurs.  In
+    each shard the passages that recur are confirmed and compiled to automata,
+    through which all of its segments, so all documents' parts that can match,
+    are streamed to locate every occurrence, word by word.
 3.  A segment's windows are removed but at the place where they occur first.
 
 Anchors of many documents are hot: their segments are cut into single windows,
@@ -35,9 +36,9 @@ HOT = 1000
 #: Bits of a text's second hash that go with each run.
 TAG = 28
 #: Anchors in a shard; the recurring ones of them are in a task's memory at once.
-SHARD = 200_000
+SHARD = 100_000
 #: Bytes of text that are hashed at once, and segments that one automaton covers.
-BYTES, SEGMENTS = 4_000_000, 20_000
+BYTES, SEGMENTS = 4_000_000, 10_000
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -210,13 +211,10 @@ def _confirm(rows: Iterable[tuple[int, int, bytes, bytes, int, int]]) -> Iterato
         old[2] += n
         if (key, first) < (old[0], old[1]):
             old[:2] = key, first
-    some: list[tuple[bytes, bytes, int, int]] = []
-    for variants in anchored.values():
-        if len(variants) == 1:  # its windows stand in no other text
-            ((text, (key, first, _)),) = variants.items()
-            yield key, first, (1 << (len(text.split(b" ")) - WINDOW + 1)) - 1
-            continue
-        some += [(text, *v) for text, v in variants.items()]
+    some: list[tuple[bytes, bytes, int, int, bool]] = []
+    while anchored:  # what has been streamed is let go
+        _, variants = anchored.popitem()
+        some += [(text, *v, len(variants) == 1) for text, v in variants.items()]
         if len(some) >= SEGMENTS:
             yield from _stream(some)
             some = []
@@ -224,8 +222,40 @@ def _confirm(rows: Iterable[tuple[int, int, bytes, bytes, int, int]]) -> Iterato
         yield from _stream(some)
 
 
-def _stream(segments: list[tuple[bytes, bytes, int, int]]) -> Iterator[tuple[bytes, int, int]]:
-    """Compiles the windows that recur in ``segments`` and streams all of these through the automaton."""
+def _passages(coded: list[str], times: list[int], alone: list[bool]) -> list[str]:
+    """What recurs in ``coded`` segments: whole ones that are alone with their anchor, of others the windows.
+
+    Windows are told apart by a hash.  Of unequal ones with the same hash one
+    counts too many, which does no harm: the automaton goes by their words.
+    """
+    found = {s for s, n, x in zip(coded, times, alone, strict=True) if x and n > 1}
+    many = [(s, n) for s, n, x in zip(coded, times, alone, strict=True) if not x]
+    if many:
+        codes = np.frombuffer("".join(s for s, _ in many).encode("utf-32-le", "surrogatepass"), "<u4")
+        place = _salt(WINDOW, 4) | np.uint64(1)
+        word, n = _mix(codes.astype(np.uint64)), len(codes) - WINDOW + 1
+        h = np.zeros(n, np.uint64)
+        for j in range(WINDOW):
+            h += word[j : j + n] * place[j]
+        sizes = np.array([len(s) for s, _ in many])
+        ends = np.cumsum(sizes)
+        within = np.flatnonzero(np.arange(n) + WINDOW <= np.repeat(ends, sizes)[:n])  # windows of one segment
+        _, at, same = np.unique(h[within], return_index=True, return_inverse=True)
+        total = np.bincount(same, np.repeat([n for _, n in many], sizes)[within])
+        segment = np.searchsorted(ends, within[at], "right")
+        for k in np.flatnonzero(total > 1).tolist():
+            s = many[segment[k]][0]
+            j = int(within[at[k]] - (ends[segment[k]] - sizes[segment[k]]))
+            found.add(s[j : j + WINDOW])
+    return list(found)
+
+
+def _stream(segments: list[tuple[bytes, bytes, int, int, bool]]) -> Iterator[tuple[bytes, int, int]]:
+    """Compiles the passages that recur in ``segments`` to an automaton and streams all of these through it.
+
+    The automaton's matches are all occurrences of each passage; of a window
+    the first one stays.
+    """
     codes: dict[bytes, str] = {}
 
     def code(word: bytes) -> str:
@@ -234,28 +264,29 @@ def _stream(segments: list[tuple[bytes, bytes, int, int]]) -> Iterator[tuple[byt
             codes[word] = chr(k if k < 0xD800 else k + 0x800)  # no surrogates
         return codes[word]
 
-    coded = [("".join(map(code, text.split(b" "))), *v) for text, *v in segments]
-    found: dict[str, list] = {}
-    for s, key, first, n in coded:
-        for j in range(len(s) - WINDOW + 1):
-            old = found.setdefault(s[j : j + WINDOW], [key, first + j, 0])
-            old[2] += n
-            if (key, first + j) < (old[0], old[1]):
-                old[:2] = key, first + j
+    coded = ["".join(map(code, text.split(b" "))) for text, *_ in segments]
+    passages = _passages(coded, [x[3] for x in segments], [x[4] for x in segments])
     automaton = ahocorasick.Automaton()
-    for w, (key, at, n) in found.items():
-        if n > 1:
-            automaton.add_word(w, (key, at))
-    if len(automaton):
+    for k, passage in enumerate(passages):
+        automaton.add_word(passage, k)
+    matches: list[tuple[int, int, int]] = []  # passage, segment, place
+    if passages:
         automaton.make_automaton()
-    for s, key, first, _ in coded:
-        bits = (1 << (len(s) - WINDOW + 1)) - 1
-        for end, earliest in automaton.iter(s) if len(automaton) else ():
-            j = end - WINDOW + 1
-            if earliest != (key, first + j):
-                bits &= ~(1 << j)
-        if bits:
-            yield key, first, bits
+        for i, s in enumerate(coded):
+            matches += [(k, i, end - len(passages[k]) + 1) for end, k in automaton.iter(s)]
+    first: dict[int, tuple[bytes, int]] = {}
+    for k, i, j in matches:
+        _, key, at, _, _ = segments[i]
+        if k not in first or (key, at + j) < first[k]:
+            first[k] = key, at + j
+    bits = [(1 << (len(s) - WINDOW + 1)) - 1 for s in coded]
+    for k, i, j in matches:
+        _, key, at, _, _ = segments[i]
+        if len(passages[k]) == WINDOW and first[k] != (key, at + j):
+            bits[i] &= ~(1 << j)
+    for (_, key, at, _, _), kept in zip(segments, bits, strict=True):
+        if kept:
+            yield key, at, kept
 
 
 def _located(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
