@@ -8,6 +8,9 @@ import os
 from pathlib import Path
 from typing import Self
 
+from strandweave.functions.text import EXTENSIONS
+from strandweave.sources.records import SKIPPED
+
 
 class Strict:
     """Reads a dataclass from a mapping or a JSON file."""
@@ -31,6 +34,9 @@ class Alignment(Strict):
     tolerance_ms: float = 50.0
     accept: float = 0.85
     shard_bytes: int = 512 * 1024 * 1024
+    #: Extensions of each modality, and names that a folder scan skips.
+    extensions: dict[str, list[str]] = dataclasses.field(default_factory=lambda: dict(EXTENSIONS))
+    skipped: tuple[str, ...] = tuple(SKIPPED)
 
 
 @dataclasses.dataclass(frozen=True)

@@ -21,11 +21,11 @@ LABELS = ["label", "action", "state"]
 PAYLOAD = ["path", "modality", "sensor_id", "frame_id", "metadata"]
 
 
-def discover(spark: SparkSession, source: str, manifest: str | None = None, session: str = "default") -> DataFrame:
+def discover(spark: SparkSession, source: str, manifest: str | None = None, session: str = "default", settings: Alignment = Alignment()) -> DataFrame:
     """Records of a manifest, or of all files under ``source``; rows of a manifest without a path stay, for ``validate``."""
     if manifest is None:
-        return records.scan(spark, source, session).drop("length")
-    return records.all_normalized(records.manifest(spark, manifest))
+        return records.scan(spark, source, session, settings.extensions, settings.skipped).drop("length")
+    return records.all_normalized(records.manifest(spark, manifest), source)
 
 
 def listing(spark: SparkSession, source: str, *more: str) -> DataFrame:
@@ -154,7 +154,7 @@ def run(spark: SparkSession, source: str, output: str, settings: Alignment = Ali
     def done(name: str, **metrics) -> None:
         stages.append({"name": name, "metrics": metrics})
 
-    found = discover(spark, source, manifest, session)
+    found = discover(spark, source, manifest, session, settings)
     done("discover", records=put(found, "manifests/raw"), mode="manifest" if manifest else "directory_scan")
     raw = records.stage(spark, f"{output}/manifests/raw")
     checked = validate(raw, listing(spark, source), source)

@@ -5,11 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Keyword in a path -> modality, in this order; then the extension.
-KEYWORDS = ["depth", "imu", "pose", "pointcloud"]
-EXTENSIONS = {"jpg": "rgb", "jpeg": "rgb", "png": "rgb", "mp4": "rgb", "npy": "depth", "json": "imu", "csv": "imu", "pcd": "pointcloud", "ply": "pointcloud", "wav": "audio", "html": "page"}
-#: Folder names that say nothing of the sensor.
-PLAIN_FOLDERS = ["modality", "data", "raw", "frames"]
+#: Keyword in a path -> modality, in this order; then the extension, whose first modality counts.
+KEYWORDS = {"depth": "depth", "imu": "imu", "pose": "pose", "6dof": "pose", "tf": "pose", "pointcloud": "pointcloud", "point_cloud": "pointcloud", "lidar": "pointcloud"}
+EXTENSIONS = {
+    "rgb": [".jpg", ".jpeg", ".png", ".bmp", ".webp"],
+    "depth": [".npy", ".npz", ".pfm", ".exr", ".tiff", ".tif"],
+    "audio": [".wav", ".flac", ".mp3", ".aac"],
+    "imu": [".json", ".jsonl", ".csv"],
+    "pose": [".json", ".jsonl", ".csv", ".txt"],
+    "pointcloud": [".pcd", ".ply", ".bin", ".las", ".laz"],
+}
+#: Folder names that say nothing of the sensor, beside that of the file's own modality.
+PLAIN_FOLDERS = ["data", "raw", "frames"]
 #: Action words, and other words for them, each list in the order of search.
 ACTIONS = ["reach", "grasp", "lift", "move", "rotate", "place", "release"]
 ALIASES = {"伸手": "reach", "靠近": "reach", "抓": "grasp", "握": "grasp", "捏": "grasp", "抬": "lift", "举": "lift", "移动": "move", "推": "move", "拉": "move", "旋转": "rotate", "拧": "rotate", "转": "rotate", "放": "place", "放置": "place", "松": "release", "放开": "release", "释放": "release"}
@@ -22,18 +29,20 @@ def first_of(cases: list[tuple[Column, Column]], default: Column) -> Column:
     return out
 
 
-def modality(path: Column) -> Column:
+def modality(path: Column, extensions: dict[str, list[str]] = EXTENSIONS) -> Column:
     """From a keyword anywhere in the path, else from the extension, else null."""
     low = F.lower(path)
-    extension = F.regexp_extract(low, r"\.([a-z0-9]+)$", 1)
-    cases = [(low.contains(k), F.lit(k)) for k in KEYWORDS] + [(extension == k, F.lit(v)) for k, v in EXTENSIONS.items()]
+    extension = F.regexp_extract(low, r"(\.[^./]+)$", 1)
+    cases = [(low.contains(k), F.lit(v)) for k, v in KEYWORDS.items()]
+    cases += [(extension.isin([x.lower() for x in of]), F.lit(m)) for m, of in extensions.items()]
     return first_of(cases, F.lit(None).cast("string"))
 
 
-def sensor(path: Column) -> Column:
-    """The first folder that says something, else null."""
-    folders = F.filter(F.split(path, "/"), lambda x: (x != "") & ~F.lower(x).isin(PLAIN_FOLDERS))
-    return F.when(F.size(folders) > 1, folders[0])
+def sensor(path: Column, modality: Column) -> Column:
+    """The first folder that says something and isn't named like the file's ``modality``, else the modality."""
+    named = F.split(path, "/")
+    folders = F.filter(F.slice(named, 1, F.size(named) - 1), lambda x: (x != "") & ~F.lower(x).isin(PLAIN_FOLDERS) & ~F.lower(x).eqNullSafe(modality))
+    return F.coalesce(F.get(folders, F.lit(0)), modality)
 
 
 def digits_to_ns(name: Column) -> Column:

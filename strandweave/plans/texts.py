@@ -17,20 +17,35 @@ def paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _PATH = "p AS (SELECT page_id, regexp_extract(url, '^[a-z]+://[^/]*/?(.*)$', 1) AS path FROM pages)"
-_KEYS = " ".join(f"WHEN contains(lower(path), '{k}') THEN '{k}'" for k in T.KEYWORDS) + " " + " ".join(
-    f"WHEN regexp_extract(lower(path), '\\.([a-z0-9]+)$', 1) = '{k}' THEN '{v}'" for k, v in T.EXTENSIONS.items()
-)
+#: Pages are no sensor's files; here they have a modality of their own.
+_EXTENSIONS = {**T.EXTENSIONS, "page": [".html", ".HTM"]}
+_MODALITY = """CASE WHEN contains(lower(path), 'depth') THEN 'depth' WHEN contains(lower(path), 'imu') THEN 'imu' WHEN regexp_matches(lower(path), 'pose|6dof|tf') THEN 'pose' WHEN regexp_matches(lower(path), 'point_?cloud|lidar') THEN 'pointcloud'
+  WHEN regexp_matches(lower(path), '[.](jpe?g|png|bmp|webp)$') THEN 'rgb' WHEN regexp_matches(lower(path), '[.](npy|npz|pfm|exr|tiff?)$') THEN 'depth' WHEN regexp_matches(lower(path), '[.](wav|flac|mp3|aac)$') THEN 'audio'
+  WHEN regexp_matches(lower(path), '[.](jsonl?|csv)$') THEN 'imu' WHEN regexp_matches(lower(path), '[.]txt$') THEN 'pose' WHEN regexp_matches(lower(path), '[.](pcd|ply|bin|la[sz])$') THEN 'pointcloud' WHEN regexp_matches(lower(path), '[.]html?$') THEN 'page' END"""
+#: Files of many kinds, named after orders.
+_FILES = f"""f AS (SELECT o_orderkey, ['rgb/cam_left', 'data/RGB', 'raw/frames', 'run1/lidar', 'tf', 'a/b', ''][o_orderkey % 7 + 1] AS folder, ['jpg', 'npz', 'FLAC', 'jsonl', 'txt', 'laz', 'las', 'webp', 'xyz'][o_orderkey % 9 + 1] AS ext FROM orders),
+g AS (SELECT o_orderkey, folder || CASE WHEN folder = '' THEN '' ELSE '/' END || o_orderkey || '.' || ext AS path FROM f), m AS (SELECT *, {_MODALITY} AS modality FROM g)"""
 
 
-@query(f"WITH {_PATH} SELECT page_id, CASE {_KEYS} END AS modality FROM p")
+@query(f"""WITH {_PATH}, {_FILES} SELECT page_id AS id, {_MODALITY} AS modality FROM p UNION ALL SELECT -o_orderkey, modality FROM m""")
 def modality_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return paths(spark, sf_dir).select("page_id", T.modality(F.col("path")).alias("modality"))
+    some = paths(spark, sf_dir).select(F.col("page_id").alias("id"), "path").unionByName(files(spark, sf_dir).select((-F.col("o_orderkey")).alias("id"), "path"))
+    return some.select("id", T.modality(F.col("path"), _EXTENSIONS).alias("modality"))
 
 
-@query(f"""WITH {_PATH}, f AS (SELECT page_id, list_filter(string_split(path, '/'), lambda x: x != '' AND lower(x) NOT IN ('modality', 'data', 'raw', 'frames')) AS f FROM p)
-SELECT page_id, CASE WHEN len(f) > 1 THEN f[1] END AS sensor FROM f""")
+def files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = F.col("o_orderkey")
+    pick = lambda xs: F.element_at(F.array(*map(F.lit, xs)), (n % len(xs) + 1).cast("int"))
+    folder = pick(["rgb/cam_left/", "data/RGB/", "raw/frames/", "run1/lidar/", "tf/", "a/b/", ""])
+    ext = pick(["jpg", "npz", "FLAC", "jsonl", "txt", "laz", "las", "webp", "xyz"])
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.concat(folder, n.cast("string"), F.lit("."), ext).alias("path"))
+
+
+@query(f"""WITH {_FILES}, s AS (SELECT *, list_filter(string_split(path, '/')[:-2], lambda x: lower(x) NOT IN ('', 'data', 'raw', 'frames') AND lower(x) IS DISTINCT FROM modality) AS f FROM m)
+SELECT o_orderkey, CASE WHEN len(f) > 0 THEN f[1] ELSE modality END AS sensor FROM s""")
 def sensor_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return paths(spark, sf_dir).select("page_id", T.sensor(F.col("path")).alias("sensor"))
+    path = F.col("path")
+    return files(spark, sf_dir).select("o_orderkey", T.sensor(path, T.modality(path, _EXTENSIONS)).alias("sensor"))
 
 
 @query("""WITH n AS (SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'f_' || (epoch_us(ts) // 1000000) WHEN 1 THEN 'f_' || (epoch_us(ts) // 1000) WHEN 2 THEN 'f_' || epoch_us(ts) ELSE 'f_' || epoch_us(ts) || '000.x' END AS name, epoch_us(ts) AS t FROM events)

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strandweave.functions import text as T
 
-#: Folder names that a scan skips.
-SKIPPED = [".git", "__pycache__", ".cache", "output"]
+#: Names of folders and files that a scan skips, in either case.
+SKIPPED = [".git", "__pycache__", ".venv", "venv", "processed"]
 #: A larger sidecar counts as none.
 SIDECAR_BYTES = 5 * 1024 * 1024
 RECORD = "session_id string, stream string, modality string, sensor_id string, timestamp_ns bigint, path string, frame_id string, metadata string"
@@ -17,33 +19,41 @@ RECORD = "session_id string, stream string, modality string, sensor_id string, t
 KEYS = "session_id stream modality sensor_id sensor timestamp_ns timestamp_us timestamp_ms timestamp_s timestamp path file uri frame_id metadata".split()
 
 
-def scan(spark: SparkSession, folder: str, session: str = "session") -> DataFrame:
+def scan(
+    spark: SparkSession, folder: str, session: str = "session", extensions: dict[str, list[str]] = T.EXTENSIONS, skipped: Sequence[str] = SKIPPED
+) -> DataFrame:
     """One record per file under ``folder`` whose modality and time can be told.
 
     The time is in the file's name, else in the document of a JSON file; no
-    other contents are read.
-    """
+    other contents are read.  ``metadata`` is that document with ``discovered``.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).select("path", "length")
     root = folder.rstrip("/").removeprefix("file:")
     path = F.element_at(F.split("path", root + "/", 2), -1)
     name = F.element_at(F.split(path, "/"), -1)
-    folders = F.slice(F.split(path, "/"), 1, F.size(F.split(path, "/")) - 1)
+    modality = T.modality(path, extensions)
     known = sidecars(spark, folder).select(F.col("path").alias("_path"), "metadata")
     files = files.join(known, F.col("path") == F.col("_path"), "left")
     stated = {k: F.try_variant_get("metadata", f"$.{k}", "string") for k in KEYS if k.startswith("timestamp")}
     rows = files.select(
         F.lit(session).alias("session_id"),
-        T.modality(path).alias("modality"),
-        F.coalesce(T.sensor(path), F.lit("sensor")).alias("sensor_id"),
+        modality.alias("modality"),
+        T.sensor(path, modality).alias("sensor_id"),
         F.coalesce(T.digits_to_ns(name), timestamp_ns(stated)).alias("timestamp_ns"),
         path.alias("path"),
         F.regexp_replace(name, r"\.[^.]*$", "").alias("frame_id"),
-        F.coalesce(F.to_json("metadata"), F.lit("{}")).alias("metadata"),
+        _with_member(F.coalesce(F.to_json("metadata"), F.lit("{}")), "discovered", F.lit("true")).alias("metadata"),
         "length",
-        folders.alias("_folders"),
     )
-    rows = rows.where(F.col("modality").isNotNull() & F.col("timestamp_ns").isNotNull() & ~F.arrays_overlap("_folders", F.array(*map(F.lit, SKIPPED))))
-    return rows.drop("_folders").withColumn("stream", F.concat_ws(":", "modality", "sensor_id"))
+    names = F.array(*[F.lit(x.lower()) for x in skipped]).cast("array<string>")
+    rows = rows.where(F.col("modality").isNotNull() & F.col("timestamp_ns").isNotNull() & ~F.arrays_overlap(F.split(F.lower("path"), "/"), names))
+    return rows.withColumn("stream", F.concat_ws(":", "modality", "sensor_id"))
+
+
+def _with_member(document: Column, name: str, value: Column) -> Column:
+    """A JSON object with one member more; both are texts."""
+    open_end = F.concat(F.regexp_replace(document, r"\s*\}\s*$", ""), F.when(document.rlike(r"^\s*\{\s*\}\s*$"), "").otherwise(","))
+    return F.concat(open_end, F.lit(f'"{name}":'), value, F.lit("}"))
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
@@ -54,13 +64,14 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def timestamp_ns(of: dict[str, Column]) -> Column:
-    """Whole numbers keep all their digits; without a unit the number of digits tells it."""
+    """Whole numbers keep all their digits; without a unit its size tells it."""
     def scaled(c: Column, k: int) -> Column:
         return F.coalesce(c.try_cast("long") * k, (c.try_cast("double") * k).cast("long"))
 
     plain = of["timestamp"]
-    by_digits = T.digits_to_ns(F.regexp_extract(plain, r"^(\d+)", 1))
-    return F.coalesce(scaled(of["timestamp_ns"], 1), scaled(of["timestamp_us"], 1000), scaled(of["timestamp_ms"], 10**6), scaled(of["timestamp_s"], 10**9), by_digits, scaled(plain, 10**9))
+    size = plain.try_cast("double")
+    unitless = F.when(size > 10**15, scaled(plain, 1)).when(size > 10**12, scaled(plain, 1000)).when(size > 10**9, scaled(plain, 10**6)).otherwise(scaled(plain, 10**9))
+    return F.coalesce(scaled(of["timestamp_ns"], 1), scaled(of["timestamp_us"], 1000), scaled(of["timestamp_ms"], 10**6), scaled(of["timestamp_s"], 10**9), unitless)
 
 
 def normalized(rows: DataFrame, root: str = "") -> tuple[DataFrame, DataFrame]:
@@ -70,28 +81,36 @@ def normalized(rows: DataFrame, root: str = "") -> tuple[DataFrame, DataFrame]:
 
 
 def all_normalized(rows: DataFrame, root: str = "") -> DataFrame:
-    """A record for each row, even without a path; keys that no record has are gathered in metadata.manifest_extra."""
+    """A record for each row, even without a path; keys that no record has are gathered in metadata.manifest_extra.
+
+    Paths under ``root`` are stored from there on.  Metadata that is no JSON
+    object stands under raw_metadata.
+    """
     of = {k: F.nullif(F.col(k).cast("string"), F.lit("")) if k in rows.columns else F.lit(None).cast("string") for k in KEYS}
     name = F.coalesce(of["path"], of["file"], of["uri"])
-    full = F.when(name.startswith("/") | (F.lit(root) == ""), name).otherwise(F.concat(F.lit(root.rstrip("/") + "/"), name))
+    base = root.rstrip("/") + "/"
+    inside = F.lit(bool(root)) & name.startswith(base)
+    stored = F.when(inside, F.substring(name, len(base) + 1, 2**31 - 1)).otherwise(name)
     extra = [c for c in rows.columns if c not in KEYS]
     rest = F.to_json(F.struct(*[F.col(c) for c in extra])) if extra else F.lit("{}")
     if "metadata" in rows.columns and isinstance(rows.schema["metadata"].dataType, StructType):
         own = F.coalesce(F.to_json("metadata"), F.lit("{}"))
     else:
-        own = F.when(F.schema_of_variant(F.try_parse_json(of["metadata"])).startswith("OBJECT"), F.trim(of["metadata"])).otherwise("{}")
-    with_rest = F.concat(F.regexp_replace(own, r"\s*\}$", ""), F.when(own.rlike(r"^\{\s*\}$"), "").otherwise(","), F.lit('"manifest_extra":'), rest, F.lit("}"))
+        text = of["metadata"]
+        raw = F.to_json(F.struct(text.alias("raw_metadata")))
+        own = F.when(text.isNull(), "{}").when(F.schema_of_variant(F.try_parse_json(text)).startswith("OBJECT"), F.trim(text)).otherwise(raw)
     modality = F.coalesce(of["modality"], T.modality(name), F.lit("unknown"))
-    sensor = F.coalesce(of["sensor_id"], of["sensor"], T.sensor(name), F.lit("sensor"))
+    sensor = F.coalesce(of["sensor_id"], of["sensor"], modality)
+    stem = F.regexp_replace(F.element_at(F.split(name, "/"), -1), r"(?<=.)\.[^.]*$", "")
     return rows.select(
         F.coalesce(of["session_id"], F.lit("session")).alias("session_id"),
         F.coalesce(of["stream"], F.concat_ws(":", modality, sensor)).alias("stream"),
         modality.alias("modality"),
         sensor.alias("sensor_id"),
         timestamp_ns(of).alias("timestamp_ns"),
-        full.alias("path"),
-        of["frame_id"].alias("frame_id"),
-        F.when(rest == "{}", own).otherwise(with_rest).alias("metadata"),
+        stored.alias("path"),
+        F.coalesce(of["frame_id"], stem).alias("frame_id"),
+        F.when(rest == "{}", own).otherwise(_with_member(own, "manifest_extra", rest)).alias("metadata"),
     )
 
 

@@ -10,25 +10,36 @@ from strandweave.sources import records, sessions, sinks
 
 def test_scan(spark, tmp_path):
     t = 1_700_000_000_000_000_000
-    for name in (f"cam_left/{t}.jpg", f"depth/{t + 5}.npy", "cam_left/notes.txt", f"__pycache__/{t}.jpg", "cam_left/1700000000.jpg"):
-        (tmp_path / name).parent.mkdir(exist_ok=True)
+    names = (f"cam_left/{t}.jpg", f"depth/{t + 5}.npy", "cam_left/notes.txt", f"__pycache__/{t}.jpg", f"Processed/{t}.jpg", f"venv/{t}.jpg", "cam_left/1700000000.jpg")
+    names += (f"rgb/cam_left/{t}.WEBP", f"data/{t}.flac", f"output/{t}.las", f"raw/6dof/{t}.txt", f"x/{t}.abc")
+    for name in names:
+        (tmp_path / name).parent.mkdir(exist_ok=True, parents=True)
         (tmp_path / name).write_bytes(b"x")
     got = {(r.path, r.modality, r.sensor_id, r.timestamp_ns) for r in records.scan(spark, str(tmp_path)).collect()}
-    assert got == {
+    want = {
         (f"cam_left/{t}.jpg", "rgb", "cam_left", t),
         (f"depth/{t + 5}.npy", "depth", "depth", t + 5),
         ("cam_left/1700000000.jpg", "rgb", "cam_left", 1_700_000_000 * 10**9),
+        (f"rgb/cam_left/{t}.WEBP", "rgb", "cam_left", t),
+        (f"data/{t}.flac", "audio", "audio", t),
+        (f"output/{t}.las", "pointcloud", "output", t),
+        (f"raw/6dof/{t}.txt", "pose", "6dof", t),
     }
+    assert got == want
+    own = records.scan(spark, str(tmp_path), extensions={"other": [".ABC"]}, skipped=["CAM_LEFT"])
+    assert {(r.path, r.modality, json.loads(r.metadata)["discovered"]) for r in own.collect()} == {(f"x/{t}.abc", "other", True), (f"depth/{t + 5}.npy", "depth", True), (f"raw/6dof/{t}.txt", "pose", True)}
 
 
 def test_manifest(spark, tmp_path):
-    rows = [{"path": "a/1.jpg", "timestamp_ns": 2**60 + 1, "extra": 5}, {"file": "/b.npy", "timestamp_s": 1.5, "sensor": "d"}, {"stream": "x"}, {"uri": "c.wav", "timestamp": "1700000000000"}]
+    rows = [{"path": "a/1.jpg", "timestamp_ns": 2**60 + 1, "extra": 5}, {"file": "/b.npy", "timestamp_s": 1.5, "sensor": "d"}, {"stream": "x"}, {"uri": "c.wav", "timestamp": "1700000000000"}, {"path": "/root/d/e.txt", "timestamp": 1700000000000000, "metadata": "{no"}]
     (tmp_path / "m.jsonl").write_text("\n".join(map(json.dumps, rows)))
     good, bad = records.normalized(records.manifest(spark, str(tmp_path / "m.jsonl")), "/root")
     got = {r.path: (r.timestamp_ns, r.sensor_id) for r in good.collect()}
-    assert got == {"/root/a/1.jpg": (2**60 + 1, "a"), "/b.npy": (1_500_000_000, "d"), "/root/c.wav": (1_700_000_000_000_000_000, "sensor")}
+    assert got == {"a/1.jpg": (2**60 + 1, "rgb"), "/b.npy": (1_500_000_000, "d"), "c.wav": (1_700_000_000_000_000, "audio"), "d/e.txt": (1_700_000_000_000_000, "pose")}
     assert bad.count() == 1
-    assert "extra" in good.where("path = '/root/a/1.jpg'").first().metadata
+    assert "extra" in good.where("path = 'a/1.jpg'").first().metadata
+    last = good.where("path = 'd/e.txt'").first()
+    assert last.frame_id == "e" and json.loads(last.metadata)["raw_metadata"] == "{no"
     assert records.demo(spark).count() == 12
 
 
