@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandweave.llm.common import row_key, small, stored, words
+from strandweave.llm.common import cut, row_key, small, stored, words
 
 #: Terms of a phrase whose lists are intersected.
 ANCHORS = 3
@@ -37,7 +37,7 @@ def rarest_terms(phrases: DataFrame, counts: DataFrame, keep: int = ANCHORS) ->
     """
     by_term = (
         phrases.select("phrase_id", F.size("terms").alias("n"), F.posexplode("terms").alias("at", "term"))
-        .join(counts, "term")
+        .join(small(cut(counts)), "term")
         .groupBy("phrase_id", "n")
         .agg(F.array_sort(F.collect_list(F.struct("postings", "at", "term"))).alias("ranked"))
         .where(F.size("ranked") == F.col("n"))
@@ -57,33 +57,39 @@ def postings(tokens: DataFrame, terms: DataFrame) -> DataFrame:
 
 
 def intersect(index: DataFrame, phrases: DataFrame, near: int) -> DataFrame:
-    """Where the rarest terms of phrases meet in a document: KEY, ``phrases``' columns, exact, near.
+    """Where the rarest terms of ``phrases`` (phrase_id, anchors) meet in a document: KEY, phrase_id, exact, near.
 
     ``exact`` holds the starts that the lists of all of a phrase's anchors
     agree on, ``near`` the places of the rarest anchor with each of the others
     within ``near`` words; it is null for phrases of fewer terms than ANCHORS.
-    Phrases that share their anchors are looked up together.
+    Phrases that share their anchors, at the same distances, are looked up
+    together, as one probe.
     """
     anchor = lambda k: F.get("anchors", F.lit(k))
+    names = [f"t{k}" for k in range(ANCHORS)] + [f"d{k}" for k in range(1, ANCHORS)]
     probe = [anchor(k)["term"].alias(f"t{k}") for k in range(ANCHORS)]
     probe += [(anchor(k)["at"] - anchor(0)["at"]).alias(f"d{k}") for k in range(1, ANCHORS)]
-    names = [f"t{k}" for k in range(ANCHORS)] + [f"d{k}" for k in range(1, ANCHORS)]
-    keyed = phrases.select("*", *probe)
-    found = index.join(small(keyed.select(*names).distinct()), F.col("term") == F.col("t0"))
-    found = found.select(*KEY, *names, F.col("places").alias("exact"), F.col("places").alias("near"))
+    keyed = phrases.select("phrase_id", anchor(0)["at"].alias("first"), *probe)
+    probes = cut(keyed.select(*names).distinct().withColumn("probe", F.monotonically_increasing_id()))
+    found = index.join(small(probes), F.col("term") == F.col("t0"))
+    found = found.select(*KEY, "probe", F.col("places").alias("exact"), F.lit(None).cast("array<int>").alias("near"))
     for k in range(1, ANCHORS):
-        other = index.select(F.col("term").alias("other"), *[F.col(c).alias(f"o_{c}") for c in KEY], F.col("places").alias("more"))
-        found = found.join(other, [F.col(f"t{k}") == F.col("other"), *[F.col(c) == F.col(f"o_{c}") for c in KEY]], "left")
+        own = probes.select(F.col("probe").alias("p"), F.col(f"t{k}").alias("t"), F.col(f"d{k}").alias("d"))
+        found = found.join(small(own), F.col("probe") == F.col("p"))
+        terms = small(own.where("t is not null").select(F.col("t").alias("u")).distinct())
+        other = index.join(terms, F.col("term") == F.col("u"), "left_semi")
+        other = other.select(F.col("term").alias("other"), *[F.col(c).alias(f"o_{c}") for c in KEY], F.col("places").alias("more"))
+        found = found.join(other, [F.col("t") == F.col("other"), *[F.col(c) == F.col(f"o_{c}") for c in KEY]], "left")
         around = F.expr(f"flatten(transform(more, y -> sequence(y - {near}, y + {near})))")
-        shifted = F.expr(f"transform(more, y -> y - d{k})")
-        none = F.col(f"t{k}").isNull()
+        none, before = F.col("t").isNull(), F.col("exact") if k == 1 else F.col("near")
         found = found.select(
             *KEY,
-            *names,
-            F.when(none, F.col("exact")).otherwise(F.array_intersect("exact", shifted)).alias("exact"),
-            F.when(~none, F.array_intersect("near", around)).alias("near"),
-        ).where(f"t{k} is null or size(exact) > 0 or size(near) > 0")
-    again = keyed.select(*[F.col(c).alias(f"p_{c}") for c in names], *phrases.columns)
+            "probe",
+            F.when(none, F.col("exact")).otherwise(F.array_intersect("exact", F.expr("transform(more, y -> y - d)"))).alias("exact"),
+            F.when(~none, F.array_intersect(before, around)).alias("near"),
+            "t",
+        ).where("t is null or size(exact) > 0 or size(near) > 0").drop("t")
     same = [F.col(c).eqNullSafe(F.col(f"p_{c}")) for c in names]
-    starts = F.filter(F.transform("exact", lambda x: x - anchor(0)["at"]), lambda x: x >= 0)
-    return found.join(small(again), same).select(*KEY, *phrases.columns, starts.alias("exact"), "near")
+    own = keyed.join(small(probes.select("probe", *[F.col(c).alias(f"p_{c}") for c in names])), same).select("phrase_id", "first", F.col("probe").alias("p"))
+    starts = F.filter(F.transform("exact", lambda x: x - F.col("first")), lambda x: x >= 0)
+    return found.join(small(cut(own)), F.col("probe") == F.col("p")).select(*KEY, "phrase_id", starts.alias("exact"), "near")
