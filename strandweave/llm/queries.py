@@ -254,24 +254,29 @@ def _op9() -> str:
     keys = "|".join(case(k) for k in ("password", "passwd", "secret", "token", "api_?key"))
     assign = rf"""(?:{keys})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""".replace("'", "''")
     # pieces between the matches tell where these lie
-    spans = lambda kind, order, pattern, rest: f"""SELECT r, {order} AS o, '{kind}' AS kind, hits[i] AS hit,
+    spans = lambda kind, order, pattern, rest, of="d": f"""SELECT r, {order} AS o, '{kind}' AS kind, hits[i] AS hit,
       list_sum(list_transform(pieces[1 : i], lambda x: len(x))) + coalesce(list_sum(list_transform(hits[1 : i - 1], lambda x: len(x))), 0) AS s
       FROM (SELECT r, hits, pieces, unnest(range(1, len(hits) + 1)) AS i FROM (
-        SELECT r, regexp_extract_all(text, '{pattern}') AS hits, regexp_split_to_array(text, '{pattern}') AS pieces FROM d WHERE regexp_matches(text, '{pattern}')))
+        SELECT r, regexp_extract_all(text, '{pattern}') AS hits, regexp_split_to_array(text, '{pattern}') AS pieces FROM {of} WHERE regexp_matches(text, '{pattern}')))
       WHERE {rest}"""
+    blanked = lambda of, pattern, rest: f"""SELECT r, CASE WHEN regexp_matches(text, '{pattern}') THEN array_to_string(list_transform(range(1, len(pieces) + 1),
+      lambda i: pieces[i] || coalesce(CASE WHEN {rest} THEN repeat(' ', len(hits[i])) ELSE hits[i] END, '')), '') ELSE text END AS text
+      FROM (SELECT r, text, regexp_extract_all(text, '{pattern}') AS hits, regexp_split_to_array(text, '{pattern}') AS pieces FROM {of})"""
+    long_value = f"len(regexp_extract(hits[i], '{assign}', 1)) >= {secrets.LEAST_VALUE}"
     parts = _list(secrets.PARTS)
     part = lambda k: f"({parts})[('0x' || substr(h, {k}, 4))::INT % {len(secrets.PARTS)} + 1]"
     title = lambda x: f"(upper(substr({x}, 1, 1)) || substr({x}, 2))"
     return f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 base AS (SELECT r, o, kind, hit, s, s + len(hit) AS e FROM (
-  {spans("assign", 0, assign, f"len(regexp_extract(hits[i], '{assign}', 1)) >= {secrets.LEAST_VALUE}")}
+  {spans("assign", 0, assign, long_value)}
   UNION ALL {spans("access", 1, secrets.ACCESS, "true")}
   UNION ALL {spans("hex", 2, secrets.HEX, "true")})),
 n AS (SELECT i, sha256(i::VARCHAR) AS h FROM range({n}) t(i)),
 m AS (SELECT i, h, rtrim(to_base64(unhex(h)), '=') AS b, {part(1)} AS a1, {part(5)} AS a2, {part(9)} AS a3, {part(13)} AS a4, ('0x' || substr(h, 60, 2))::INT AS k FROM n),
 sample AS (
-  SELECT true AS random, CASE i % 4 WHEN 0 THEN b WHEN 1 THEN substr(h, 1, 40) WHEN 2 THEN translate(b, '+/', '-_') ELSE upper(substr(regexp_replace(b, '[+/]', '', 'g'), 1, 24)) END AS x FROM m
+  SELECT true AS random, CASE i % 6 WHEN 0 THEN b WHEN 1 THEN substr(h, 1, 40) WHEN 2 THEN translate(b, '+/', '-_') WHEN 3 THEN upper(substr(regexp_replace(b, '[+/]', '', 'g'), 1, 24))
+    WHEN 4 THEN substr(regexp_replace(b, '[+/]', '', 'g'), 1, 16 + k % 8) ELSE substr(regexp_replace(b, '[+/0-9]', '', 'g'), 1, 20) END AS x FROM m
   UNION ALL SELECT false, CASE i % 6 WHEN 0 THEN a1 || '_' || a2 || '_' || a3 || '_' || k WHEN 1 THEN a1 || '-' || a2 || '-' || a3 || '-' || a4 || '-' || (1990 + k % 40)
     WHEN 2 THEN a1 || {title("a2")} || {title("a3")} || {title("a4")} || k WHEN 3 THEN a1 || '/' || (1990 + k % 40) || '/' || printf('%02d', k % 12 + 1) || '/' || a2 || '/' || a3
     WHEN 4 THEN upper(a1) || '_' || upper(a2) || '_' || upper(a3) || '_' || printf('%02d', k % 12 + 1) ELSE a1 || '-' || (1990 + k % 40) || '-' || printf('%02d', k % 12 + 1) || '-' || a2 || '=' || a3 END FROM m
@@ -284,8 +289,8 @@ model AS (
   FROM cell LEFT JOIN pair p1 ON p1.random AND p1.a = cell.a AND p1.b = cell.b LEFT JOIN pair p0 ON NOT p0.random AND p0.a = cell.a AND p0.b = cell.b
     LEFT JOIN total t1 ON t1.random AND t1.a = cell.a LEFT JOIN total t0 ON NOT t0.random AND t0.a = cell.a
 ),
-run AS (SELECT r, o, kind, hit, s, s + len(hit) AS e FROM ({spans("markov", 3, secrets.RUN, "regexp_matches(hits[i], '[0-9]')")})),
-free AS (SELECT * FROM run WHERE NOT EXISTS (FROM base WHERE base.r = run.r AND base.s < run.e AND base.e > run.s)),
+d1 AS ({blanked("d", assign, long_value)}), d2 AS ({blanked("d1", secrets.ACCESS, "true")}), d3 AS ({blanked("d2", secrets.HEX, "true")}),
+free AS (SELECT r, o, kind, hit, s, s + len(hit) AS e FROM ({spans("markov", 3, secrets.RUN, f"regexp_matches(hits[i], '{secrets.ODD}')", "d3")})),
 judged AS (
   SELECT f.r, f.s, f.e, avg(llr) AS ratio FROM (SELECT *, unnest(range(1, len(hit))) AS j FROM free) f
   JOIN model ON model.a = ascii(substr(hit, j, 1)) - {low} AND model.b = ascii(substr(hit, j + 1, 1)) - {low} GROUP BY f.r, f.s, f.e

@@ -13,9 +13,10 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"  # as long runs: what AKIA[A-Z0-9]+ finds of 20 ch
 HEX = r"[0-9a-f]{24,}"  # as long runs: what [0-9a-f]+ finds of 24 characters and more
 KINDS = ["assign", "access", "hex"]
 LEAST_VALUE = 6
-#: What the models judge: runs of at least 20 of these characters with a digit among them.
-RUN_CHARS = r"[A-Za-z0-9+/_=-]"
-RUN = RUN_CHARS + "{20,}"
+#: What the models judge: runs of at least 16 of these characters, outside base spans, with a digit or several capitals
+#: after small letters.
+RUN = r"[A-Za-z0-9+/_=-]{16,}"
+ODD = "[0-9]|[a-z][A-Z].*[a-z][A-Z]"
 #: The models' alphabet is the code points from "+" to "z".
 LOW, WIDTH = ord("+"), ord("z") - ord("+") + 1
 #: A run is a secret if the mean log-likelihood ratio of its character pairs is above this.
@@ -26,7 +27,7 @@ SMOOTHING = 0.5
 #: Code points of the chunks from which a text without its secrets is put together.
 CHUNK = 1024
 #: Parts of ordinary identifiers.
-PARTS = "account action add admin api app array asset auth author backup base batch binary block body book border box branch buffer build button cache call catalog category center chapter chart check child class clear client cloud code color column comment common config content context control copy count create current custom data database date default delete design detail device dialog directory document domain download driver edit element email enable entity entry error event example export feature field figure file filter final first folder footer format frame function gallery general global group guide handler header height history home image import index info input install instance introduction item journal key label language last layout level library license line link list load local location login main manager map master media member menu message method mobile model module month name network news node note number object online option order output overview package page panel parser part password path payment photo picture player plugin point policy post press print privacy process product profile program project public query question record release report request research resource response result review right root route sample schedule school science screen script search section security select send series server service session setting share shop single site size source space standard start state static status storage store story stream string style summary support switch system table target task team template term test text theme time title token tool topic total track train type update upload user value version video view volume web week widget window work world year".split()
+PARTS = "account add api array auth backup batch block book box buffer button call category chapter check class client code column common content control count current data date delete detail dialog document download edit email entity error example feature figure filter first footer frame gallery global guide header history image index input instance item key language layout library line list local login manager master member message mobile module name news note object option output package panel part path photo player point post print process profile project query record report research response review root sample school screen search security send server session share single size space start static storage story string summary switch table task template test theme title tool total train update user version view web widget work year".split()
 
 
 def labelled_samples(spark: SparkSession, n: int = SAMPLES, first: int = 0) -> DataFrame:
@@ -34,14 +35,21 @@ def labelled_samples(spark: SparkSession, n: int = SAMPLES, first: int = 0) -> D
     parts = F.lit(" ".join(PARTS))
     at = spark.range(first, first + n).select("id", F.sha2(F.col("id").cast("string"), 256).alias("h"))
     b64 = F.rtrim(F.base64(F.unhex("h")), F.lit("="))
+    plain, number = F.regexp_replace(b64, "[+/]", ""), F.conv(F.substring("h", 60, 2), 16, 10).cast("int")
     random = F.element_at(
-        F.array(b64, F.substring("h", 1, 40), F.translate(b64, "+/", "-_"), F.upper(F.substring(F.regexp_replace(b64, "[+/]", ""), 1, 24))),
-        (F.col("id") % 4 + 1).cast("int"),
-    )
+        F.array(
+            b64,
+            F.substring("h", 1, 40),
+            F.translate(b64, "+/", "-_"),
+            F.upper(F.substring(plain, 1, 24)),
+            F.substring(plain, F.lit(1), 16 + number % 8),
+            F.substring(F.regexp_replace(plain, "[0-9]", ""), 1, 20),
+        ),
+        (F.col("id") % 6 + 1).cast("int"),
+    )
     part = lambda k: F.element_at(
         F.split(parts, " "), (F.conv(F.substring("h", k, 4), 16, 10).cast("int") % len(PARTS) + 1).cast("int")
     )
-    number = F.conv(F.substring("h", 60, 2), 16, 10).cast("int")
     year = (F.lit(1990) + number % 40).cast("string")
     month = F.lpad((number % 12 + 1).cast("string"), 2, "0")
     a, b, c, d = (part(k) for k in (1, 5, 9, 13))
@@ -155,39 +163,38 @@ def _is_base(hit: Column, kind: str) -> Column:
     return F.length(F.regexp_extract(hit, ASSIGN, 2)) >= LEAST_VALUE if kind == "assign" else F.lit(True)
 
 
-def _touched(text: Column, pattern: str, kind: str) -> Column:
-    """For each run of ``text``, whether it overlaps a base span of this kind; empty if there is none.
-
-    The characters of runs that lie in base spans are overwritten with
-    ``\\0``, which then counts as one of a run's characters, so that the runs
-    stay in place.
-    """
+def _blanked(text: Column, pattern: str, kind: str) -> Column:
+    """``text`` with blanks in place of its base spans of this kind, so that all else stays in its place."""
     hits, pieces = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    over = lambda h: F.when(_is_base(h, kind), F.regexp_replace(h, RUN_CHARS, "\0")).otherwise(h)
-    masked = F.array_join(F.zip_with(pieces, hits, lambda p, h: F.concat(F.translate(p, "\0", " "), F.coalesce(over(h), F.lit("")))), "")
-    runs = F.regexp_extract_all(masked, F.lit(RUN.replace("[", r"[\x00")), F.lit(0))
-    return F.when(text.rlike(pattern), F.transform(runs, lambda x: F.contains(x, F.lit("\0")))).otherwise(F.array().cast("array<boolean>"))
+    over = lambda h: F.when(_is_base(h, kind), F.repeat(F.lit(" "), F.length(h))).otherwise(h)
+    joined = F.array_join(F.zip_with(pieces, hits, lambda p, h: F.concat(p, F.coalesce(over(h), F.lit("")))), "")
+    return F.when(text.rlike(pattern), joined).otherwise(text)
 
 
 def with_spans(docs: DataFrame, model: list[float] | None = None, least: float = LEAST_RATIO) -> DataFrame:
     """``docs`` with ``__sw_base`` and ``__sw_spans``, sorted arrays of (s, o, e, kind, hit) in code points, end exclusive.
 
     ``__sw_spans`` adds to the base spans the runs that the models take for
-    random strings (kind markov) and that overlap no base span.  The time
-    grows with the length of a text and the number of its matches times its
-    square root.
+    random strings (kind markov).  Runs are found in the text whose spans of
+    the first kind, then of the second, then of the third are blanked, so that
+    what is left of a longer string beside a base span is judged by itself.
+    Null text holds nothing; each row is judged by itself, so repeated rows
+    have the same result and an empty table has none; other columns stay.
+    The time grows with the length of a text and the number of its matches
+    times its square root.
     """
     model = model or train(labelled_samples(docs.sparkSession))
     text = F.coalesce("text", F.lit(""))
     kinds = list(zip((ASSIGN, ACCESS, HEX), KINDS, strict=True))
     base = [_found(text, p, k) for p, k in kinds]
     base[0] = F.filter(base[0], lambda x: _is_base(x["hit"], "assign"))
-    out = docs.withColumn("__sw_base", F.array_sort(F.concat(*base)))
-    clear = _found(text, RUN, "markov")
-    for p, k in kinds:
-        clear = F.zip_with(clear, _touched(text, p, k), lambda x, over: F.when(~F.coalesce(over, F.lit(False)), x))
-    more = F.filter(clear, lambda x: x.isNotNull() & x["hit"].rlike("[0-9]") & (ratio(x["hit"], model) > least))
-    return out.withColumn("__sw_spans", F.array_sort(F.concat("__sw_base", F.when(text.rlike(RUN), more).otherwise(F.array()))))
+    out = docs.withColumn("__sw_base", F.array_sort(F.concat(*base))).withColumn("__sw_rest", text)
+    for p, k in kinds:  # few texts hold any
+        held = F.expr(f"exists(__sw_base, x -> x.kind = '{k}')")
+        out = out.withColumn("__sw_rest", F.when(held, _blanked(F.col("__sw_rest"), p, k)).otherwise(F.col("__sw_rest")))
+    rest = F.col("__sw_rest")
+    more = F.filter(_found(rest, RUN, "markov"), lambda x: x["hit"].rlike(ODD) & (ratio(x["hit"], model) > least))
+    return out.withColumn("__sw_spans", F.array_sort(F.concat("__sw_base", F.when(rest.rlike(RUN), more).otherwise(F.array())))).drop("__sw_rest")
 
 
 def _text_of(spans: str) -> Column:
@@ -199,7 +206,8 @@ def _text_of(spans: str) -> Column:
 def scan(docs: DataFrame, model: list[float] | None = None, least: float = LEAST_RATIO) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_assign, n_access, n_hex, base_sha256, spans.
 
-    Null text is empty and holds nothing.
+    Null text is empty and holds nothing.  Repeated rows have the same result,
+    an empty table has none, and further columns stay out, whatever their names.
     """
     n = lambda kind: F.size(F.filter("__sw_base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return with_spans(docs.select("doc_id", "text"), model, least).select(
