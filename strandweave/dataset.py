@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from strandweave.operators.segment import numbered
 from strandweave.operators.stats import vector_stats
 from strandweave.sources import sinks
 
@@ -35,7 +36,7 @@ def write(frames: DataFrame, root: str, fps: float, robot: str = "unknown", vect
         (F.col("base") + F.row_number().over(own) - 1).alias("episode_index"), "session_id", "task", "length", (to - F.col("length")).alias("dataset_from_index"), to.alias("dataset_to_index")
     )
     tasks = episodes.where("task is not null").groupBy("task").agg(F.min("episode_index").alias("first"))
-    tasks = tasks.select((F.row_number().over(Window.orderBy("first")) - 1).cast("long").alias("task_index"), "task")
+    tasks = numbered(tasks, "first", ["first"], "task_index").select("task_index", "task")
     tasks.write.mode("overwrite").parquet(f"{root}/meta/tasks")
     tasks = spark.read.schema("task_index long, task string").parquet(f"{root}/meta/tasks")
     episodes = episodes.join(tasks, "task", "left")

@@ -1,17 +1,24 @@
-"""Fits and chains that need linear algebra: grouped, in order, on Arrow batches."""
+"""Fits that need linear algebra, on Arrow batches."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def turned(u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """The proper rotation of a decomposition."""
+    return v.T @ np.diag([1.0, 1.0, np.sign(np.linalg.det(v.T @ u.T))]) @ u.T
 
 
 def kabsch(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The rotation that turns the rows of ``a`` onto ``b`` best."""
     u, _, v = np.linalg.svd(a.T @ b)
-    d = np.sign(np.linalg.det(v.T @ u.T))
-    return v.T @ np.diag([1.0, 1.0, d]) @ u.T
+    return turned(u, v)
 
 
 def umeyama(a: np.ndarray, b: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
@@ -23,76 +30,33 @@ def umeyama(a: np.ndarray, b: np.ndarray) -> tuple[float, np.ndarray, np.ndarray
     return k, r, mb - k * r @ ma
 
 
-def fit_rotations(df: DataFrame, by: str, order: str, a: str, b: str) -> DataFrame:
-    """The best rotation and its residual for each ``by``: by, r (nine numbers), rmse.
+def covariance(df: DataFrame, by: str, a: str, b: str) -> DataFrame:
+    """by, n, c (the nine sums of products of a's and b's coordinates, row by row) and spread (the sum of both's squares)."""
+    product = [F.sum(F.col(a)[i] * F.col(b)[j]) for i in range(3) for j in range(3)]
+    squares = sum((F.col(x)[i] * F.col(x)[i] for x in (a, b) for i in range(3)), F.lit(0.0))
+    return df.groupBy(by).agg(F.count(F.lit(1)).alias("n"), F.array(*product).alias("c"), F.sum(squares).alias("spread"))
 
-    The covariance is a sum over rows; a group is a session's points.
-    """
-    kind = df.schema[by].dataType.simpleString()
 
-    def fit(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(order)
-        x, y = np.array(rows[a].tolist(), float), np.array(rows[b].tolist(), float)
-        r = kabsch(x, y)
-        error = float(np.sqrt((((r @ x.T).T - y) ** 2).sum(1).mean()))
-        return pd.DataFrame({by: [rows[by].iloc[0]], "r": [r.ravel().tolist()], "rmse": [error]})
-
-    return df.select(by, order, a, b).groupBy(by).applyInPandas(fit, f"{by} {kind}, r array<double>, rmse double")
-
-
-class Chain:
-    """A planar arm of links with joint limits: forward kinematics, its Jacobian, and damped inverse kinematics."""
-
-    def __init__(self, links: list[float], low: float = -2.5, high: float = 2.5):
-        self.links, self.low, self.high = np.asarray(links, float), low, high
-
-    def tip(self, q: np.ndarray) -> np.ndarray:
-        at = np.cumsum(q)
-        return np.array([(self.links * np.cos(at)).sum(), (self.links * np.sin(at)).sum()])
-
-    def jacobian(self, q: np.ndarray) -> np.ndarray:
-        at = np.cumsum(q)
-        back = lambda x: np.cumsum(x[::-1])[::-1]
-        return np.array([-back(self.links * np.sin(at)), back(self.links * np.cos(at))])
-
-    def clamp(self, q: np.ndarray) -> np.ndarray:
-        return np.clip(q, self.low, self.high)
-
-    def solve(self, goal: np.ndarray, q: np.ndarray, rounds: int = 30, damping: float = 1e-3, smooth: float = 0.0, tolerance: float = 1e-8) -> np.ndarray:
-        """Levenberg-Marquardt from ``q``; a step that helps halves the damping, another one takes it times four."""
-        start, q, mu = q.copy(), self.clamp(q), damping
-        cost = lambda x: ((self.tip(x) - goal) ** 2).sum() + smooth * ((x - start) ** 2).sum()
-        for _ in range(rounds):
-            j, e = self.jacobian(q), goal - self.tip(q)
-            h = j.T @ j + (mu + smooth) * np.eye(len(q))
-            new = self.clamp(q + np.linalg.solve(h, j.T @ e - smooth * (q - start)))
-            if cost(new) < cost(q):
-                gain, q, mu = cost(q) - cost(new), new, mu * 0.5
-                if gain < tolerance:
-                    break
-            else:
-                mu *= 4
-        return q
-
-
-def retarget(df: DataFrame, by: str, order: str, goal: str, kept: str, links: list[float]) -> DataFrame:
-    """Joint angles for each kept row, each solve started from the one before: by, order, qpos (NaN where not kept), error."""
+def fit_rotations(df: DataFrame, by: str, a: str, b: str) -> DataFrame:
+    """The best rotation of ``a``'s points onto ``b``'s and its residual for each ``by``: by, r (nine numbers), rmse.
+
+    All that is needed of a group are the sums of ``covariance``, which are
+    gathered in the JVM; one row for each group is decomposed.
+    """
     kind = df.schema[by].dataType.simpleString()
 
-    def solve(rows: pd.DataFrame) -> pd.DataFrame:
-        arm, rows = Chain(links), rows.sort_values(order)
-        q, out, errors = np.full(len(links), 0.2), [], []
-        for g, k in zip(rows[goal], rows[kept], strict=True):
-            if not k:
-                out.append([float("nan")] * len(links))
-                errors.append(float("nan"))
-                continue
-            q = arm.solve(np.asarray(g[:2], float), q, smooth=1e-4)
-            out.append(q.tolist())
-            errors.append(float(np.linalg.norm(arm.tip(q) - np.asarray(g[:2], float))))
-        return pd.DataFrame({by: rows[by].to_numpy(), order: rows[order].to_numpy(), "qpos": out, "error": errors})
-
-    return df.select(by, order, goal, kept).groupBy(by).applyInPandas(solve, f"{by} {kind}, {order} long, qpos array<double>, error double")
+    def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            rotations, errors = [], []
+            for n, c, spread in zip(rows["n"], rows["c"], rows["spread"], strict=True):
+                c = np.asarray(c, float).reshape(3, 3)
+                u, s, v = np.linalg.svd(c)
+                s[2] *= np.sign(np.linalg.det(v.T @ u.T))
+                rotations.append(turned(u, v).ravel().tolist())
+                errors.append(float(np.sqrt(max(spread - 2 * s.sum(), 0.0) / n)))
+            yield pd.DataFrame({by: rows[by], "r": rotations, "rmse": errors})
+
+    return covariance(df, by, a, b).mapInPandas(fit, f"{by} {kind}, r array<double>, rmse double")
 
 
 def similarity_residuals(df: DataFrame, by: str, a: str, b: str, points: int) -> DataFrame:

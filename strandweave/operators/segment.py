@@ -7,17 +7,36 @@ the end.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import math
+from collections.abc import Callable, Iterator, Sequence
+from typing import Any
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def ordered(by: Sequence[str], order: Sequence[str]) -> Window:
     return Window.partitionBy(*by).orderBy(*order)
 
 
+def numbered(df: DataFrame, at: str, order: Sequence[str], name: str, cells: int = 1024) -> DataFrame:
+    """Adds each row's number from 0 in the order of ``order``, which starts with the whole number ``at``.
+
+    Rows are numbered within ranges of ``at``; only the ranges' sums, at most
+    ``cells`` and one, are in one task.
+    """
+    low, high = df.agg(F.min(at), F.max(at)).first()
+    width = max(1, ((high or 0) - (low or 0)) // cells + 1)
+    rows = df.withColumn("_cell", F.floor((F.col(at) - F.lit(low or 0)) / width))
+    before = Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    sums = rows.groupBy("_cell").agg(F.count(F.lit(1)).alias("_n")).select("_cell", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    number = (F.col("_base") + F.row_number().over(ordered(["_cell"], order)) - 1).cast("long")
+    return rows.join(F.broadcast(sums), "_cell").withColumn(name, number).drop("_cell", "_base")
+
+
 def gaps(df: DataFrame, by: Sequence[str], order: Sequence[str], at: Column, most: Column) -> DataFrame:
     """Rows that come more than ``most`` after the one before, with their position and the interval."""
     w = ordered(by, order)
@@ -125,24 +144,52 @@ def blend(parts: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
+def folded(df: DataFrame, by: str, order: Sequence[str], inputs: Sequence[str], out: str, start: Callable[[], Any], step: Callable[..., tuple[Any, tuple]]) -> DataFrame:
+    """Adds the columns ``out`` (name and type) that ``step`` makes of a state and a row's ``inputs``, in order.
+
+    The state is ``start()`` in each ``by``.  Rows are streamed, sorted, so
+    that a task holds one batch and one state, and time is linear in the
+    length of a sequence.
+    """
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
+    made = df.sparkSession.createDataFrame([], out).schema
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = to_arrow_schema(made)
+        at, state = object(), None
+        for b in batches:
+            rows = []
+            for key, *values in zip(*(b.column(c).to_pylist() for c in (by, *inputs)), strict=True):
+                if key != at:
+                    at, state = key, start()
+                state, row = step(state, *values)
+                rows.append(row)
+            new = zip(*rows, strict=True) if rows else [[] for _ in kinds]
+            yield pa.RecordBatch.from_arrays([*b.columns, *[pa.array(c, f.type) for c, f in zip(new, kinds, strict=True)]], names=[*b.schema.names, *kinds.names])
+
+    return df.repartition(by).sortWithinPartitions(by, *order).mapInArrow(fold, f"{columns}, {out}")
+
+
 def one_euro(df: DataFrame, by: str, order: Sequence[str], value: str, fps: float = 30.0, least: float = 2.0, beta: float = 0.7, slope: float = 1.0) -> DataFrame:
     """The One-Euro low-pass filter along each sequence: by, position, value, smooth.
 
-    Each value depends on the one before, so that a sequence is folded in
-    order, in one task; the fold runs in the JVM.
+    Each value depends on the one before, so that a sequence is streamed in
+    order, in one task.  A null stays null and changes nothing.
     """
-    rows = df.groupBy(by).agg(F.array_sort(F.collect_list(F.struct(*order, F.col(value).alias("x")))).alias("xs"))
-    dt, pi = 1.0 / fps, 3.141592653589793
-    alpha = lambda c: f"(1 / (1 + 1 / (2 * {pi}D * ({c}) * {dt}D)))"
-    d = f"({alpha(f'{slope}D')} * (e.x - s.x) / {dt}D + (1 - {alpha(f'{slope}D')}) * s.d)"
-    c = alpha(f"{least}D + {beta}D * abs({d})")
-    fold = f"""aggregate(xs, named_struct('x', double(null), 'y', double(null), 'd', 0D, 'out', array()::array<double>),
-      (s, e) -> if(s.x is null, named_struct('x', e.x, 'y', e.x, 'd', 0D, 'out', array(e.x)),
-        named_struct('x', e.x, 'y', {c} * e.x + (1 - {c}) * s.y, 'd', {d}, 'out', array_append(s.out, {c} * e.x + (1 - {c}) * s.y))),
-      s -> s.out)"""
-    return rows.select(by, F.posexplode(F.arrays_zip(F.expr("transform(xs, x -> x.x)").alias("value"), F.expr(fold).alias("smooth"))).alias("position", "z")).select(
-        by, F.col("position").cast("long").alias("position"), F.col("z.value").alias("value"), F.col("z.smooth").alias("smooth")
-    )
+    share = lambda cutoff: 1 / (1 + fps / (2 * math.pi * cutoff))
+
+    def step(state, x):
+        place, old, y, d = state
+        if x is None:
+            return (place + 1, old, y, d), (place, None)
+        if y is None:
+            return (place + 1, x, x, 0.0), (place, x)
+        d = share(slope) * (x - old) * fps + (1 - share(slope)) * d
+        y += share(least + beta * abs(d)) * (x - y)
+        return (place + 1, x, y, d), (place, y)
+
+    found = folded(df.select(by, *order, F.col(value).cast("double").alias("value")), by, order, ["value"], "position long, smooth double", lambda: (0, None, None, 0.0), step)
+    return found.select(by, "position", "value", "smooth")
 
 
 def peaks(df: DataFrame, by: str, order: Sequence[str], speed: str, n: int, least: float = 1e-3) -> DataFrame:
@@ -175,55 +222,29 @@ def peaks(df: DataFrame, by: str, order: Sequence[str], speed: str, n: int, leas
 
 
 def smooth_rotations(df: DataFrame, by: str, order: str, quaternion: str, alpha: float = 0.5) -> DataFrame:
-    """Low-passes unit quaternions (w, x, y, z) along each sequence by spherical interpolation, on one hemisphere."""
-    import numpy as np
+    """Low-passes unit quaternions (w, x, y, z) along each sequence by spherical interpolation, on one hemisphere: by, order, smooth.
 
-    kind = df.schema[by].dataType.simpleString()
-
-    def smooth(frames: pd.DataFrame) -> pd.DataFrame:
-        frames = frames.sort_values(order, kind="stable")
-        out, y = [], None
-        for q in frames[quaternion]:
-            x = np.asarray(q, float)
-            x = x / max(np.linalg.norm(x), 1e-12)
-            if y is None:
-                y = x
-            else:
-                x = -x if x @ y < 0 else x
-                angle = np.arccos(np.clip(x @ y, -1, 1))
-                y = y + alpha * (x - y) if angle < 1e-6 else (np.sin((1 - alpha) * angle) * y + np.sin(alpha * angle) * x) / np.sin(angle)
-                y = y / np.linalg.norm(y)
-            out.append(y.tolist())
-        return pd.DataFrame({by: frames[by].to_numpy(), order: frames[order].to_numpy(), "smooth": out})
-
-    return df.select(by, order, quaternion).groupBy(by).applyInPandas(smooth, f"{by} {kind}, {order} long, smooth array<double>")
-
-
-def warm_start(df: DataFrame, by: str, order: str, target: str, rounds: int = 30, damping: float = 1e-3) -> DataFrame:
-    """Solves a small least-squares problem for each row, starting from the row before: angles of a planar two-link arm of unit links."""
-    import numpy as np
-
-    kind = df.schema[by].dataType.simpleString()
+    Rows are streamed in order; a null stays null and changes nothing.
+    """
 
-    def solve(frames: pd.DataFrame) -> pd.DataFrame:
-        frames = frames.sort_values(order, kind="stable")
-        q, out = np.array([0.3, 0.3]), []
-        for t in frames[target]:
-            goal, mu = np.asarray(t[:2], float), damping
-            reach = lambda q: np.array([np.cos(q[0]) + np.cos(q[0] + q[1]), np.sin(q[0]) + np.sin(q[0] + q[1])])
-            for _ in range(rounds):
-                e = goal - reach(q)
-                s, c = np.sin([q[0], q.sum()]), np.cos([q[0], q.sum()])
-                j = np.array([[-s[0] - s[1], -s[1]], [c[0] + c[1], c[1]]])
-                new = q + np.linalg.solve(j.T @ j + mu * np.eye(2), j.T @ e)
-                if np.linalg.norm(goal - reach(new)) < np.linalg.norm(e):
-                    q, mu = new, mu * 0.5
-                else:
-                    mu *= 4
-            out.append(float(np.linalg.norm(goal - reach(q))))
-        return pd.DataFrame({by: frames[by].to_numpy(), order: frames[order].to_numpy(), "residual": out})
-
-    return df.select(by, order, target).groupBy(by).applyInPandas(solve, f"{by} {kind}, {order} long, residual double")
+    def unit(q: list[float]) -> list[float]:
+        size = max(math.sqrt(sum(x * x for x in q)), 1e-12)
+        return [x / size for x in q]
+
+    def step(y, q):
+        if q is None:
+            return y, (None,)
+        x = unit(q)
+        if y is None:
+            return x, (x,)
+        dot = sum(a * b for a, b in zip(x, y, strict=True))
+        x, angle = ([-a for a in x] if dot < 0 else x), math.acos(min(abs(dot), 1.0))
+        u, v = (1 - alpha, alpha) if angle < 1e-6 else (math.sin((1 - alpha) * angle) / math.sin(angle), math.sin(alpha * angle) / math.sin(angle))
+        y = unit([u * a + v * b for a, b in zip(y, x, strict=True)])
+        return y, (y,)
+
+    rows = df.select(by, order, F.col(quaternion).cast("array<double>").alias("_q"))
+    return folded(rows, by, [order], ["_q"], "smooth array<double>", lambda: None, step).drop("_q")
 
 
 def shards(df: DataFrame, by: str, order: Sequence[str], size: str, most: int, header: int | str = 0) -> DataFrame:

@@ -155,7 +155,14 @@ def overlap_blend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segment.blend(parts, ["user_id", "position"]).withColumn("value", F.round("value", 6))
 
 
-@query()
+_SHARE = lambda cutoff: f"(1 / (1 + 30 / (2 * pi() * ({cutoff}))))"
+
+
+@query(f"""WITH RECURSIVE {EV}, f AS (
+  SELECT user_id, position, value AS x, value AS y, 0::DOUBLE AS d FROM ev WHERE position = 0
+  UNION ALL SELECT user_id, position, x, y + {_SHARE("2 + 0.7 * abs(d)")} * (x - y), d FROM (
+    SELECT e.user_id, e.position, e.value AS x, f.y, {_SHARE("1")} * (e.value - f.x) * 30 + (1 - {_SHARE("1")}) * f.d AS d FROM f JOIN ev e ON e.user_id = f.user_id AND e.position = f.position + 1)
+) SELECT user_id, position, x AS value, round(y, 6) AS smooth FROM f""")
 def one_euro(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = segment.one_euro(events(spark, sf_dir), "user_id", ORDER, "value")
     return found.withColumn("smooth", F.round("smooth", 6))
@@ -227,24 +234,31 @@ def every_kth(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.where("i % 10 = 0").select("user_id", "latest")
 
 
-@query()
+@query(f"""WITH RECURSIVE {EV}, s AS (SELECT user_id, count(*) AS n, max(coalesce(value, 0)) AS most, list(position ORDER BY -coalesce(value, 0), position)[1:16] AS top FROM ev GROUP BY user_id),
+g AS (SELECT *, list_transform(range(greatest(1, least(8, n))), lambda i: round_even((n - 1) * i / greatest(1, greatest(1, least(8, n)) - 1), 0)::BIGINT) AS grid, greatest(1, n // 16) AS apart FROM s),
+c AS (SELECT user_id, apart, n < 16 OR most < 1e-3 AS flat, CASE WHEN n < 16 OR most < 1e-3 THEN grid ELSE list_concat(top, grid) END AS cand FROM g),
+r AS (SELECT user_id, apart, flat, cand, 0 AS j, []::BIGINT[] AS kept FROM c
+  UNION ALL SELECT user_id, apart, flat, cand, j + 1, CASE WHEN flat OR len(kept) < 8 AND len(list_filter(kept, lambda p: abs(p - cand[j + 1]) < apart)) = 0 THEN list_append(kept, cand[j + 1]) ELSE kept END FROM r WHERE j < len(cand)),
+k AS (SELECT DISTINCT user_id, unnest(kept) AS position FROM r WHERE j = len(cand))
+SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY position) - 1 AS idx, position FROM k""")
 def motion_peaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segment.peaks(events(spark, sf_dir), "user_id", ORDER, "value", 8)
 
 
-@query()
+@query("""WITH RECURSIVE e AS (SELECT label, vec_id, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS i, list_transform(embedding[1:4], lambda x: x::DOUBLE) AS v FROM embeddings),
+u AS (SELECT label, vec_id, i, list_transform(v, lambda x: x / sqrt(list_sum(list_transform(v, lambda y: y * y)))) AS x FROM e),
+f AS (SELECT label, vec_id, i, x AS y FROM u WHERE i = 1
+  UNION ALL SELECT label, vec_id, i, list_transform(raw, lambda a: a / sqrt(list_sum(list_transform(raw, lambda b: b * b)))) FROM (
+    SELECT label, vec_id, i, list_transform(range(1, 5), lambda k: (CASE WHEN ang < 1e-6 THEN 0.5 ELSE sin(0.5 * ang) / sin(ang) END) * (y[k] + (CASE WHEN dot < 0 THEN -1 ELSE 1 END) * x[k])) AS raw FROM (
+      SELECT *, acos(least(abs(dot), 1)) AS ang FROM (
+        SELECT u.label, u.vec_id, u.i, u.x, f.y, u.x[1] * f.y[1] + u.x[2] * f.y[2] + u.x[3] * f.y[3] + u.x[4] * f.y[4] AS dot FROM f JOIN u ON u.label = f.label AND u.i = f.i + 1)))
+) SELECT label, vec_id, round(y[1], 6) AS w, round(y[2], 6) AS x, round(y[3], 6) AS y, round(y[4], 6) AS z FROM f""")
 def quat_smooth(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").select("label", "vec_id", F.slice("embedding", 1, 4).cast("array<double>").alias("q"))
     found = segment.smooth_rotations(rows, "label", "vec_id", "q")
     return found.select("label", "vec_id", *[F.round(F.col("smooth")[i], 6).alias(c) for i, c in enumerate("wxyz")])
 
 
-@query()
-def warm_start_solve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "embeddings").select("label", "vec_id", F.slice("embedding", 1, 2).cast("array<double>").alias("goal"))
-    return segment.warm_start(rows, "label", "vec_id", "goal").withColumn("residual", F.round("residual", 4))
-
-
 @query("""WITH RECURSIVE d AS (SELECT source, doc_id, n_chars, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS i FROM documents),
 f AS (SELECT source, doc_id, i, 0::BIGINT AS shard, n_chars + 64 AS filled FROM d WHERE i = 1
   UNION ALL SELECT d.source, d.doc_id, d.i, CASE WHEN filled > 0 AND filled + n_chars > 50000 THEN shard + 1 ELSE shard END,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strandweave.operators import stats
+from strandweave.operators import ingest, stats
 from strandweave.operators.segment import ordered
 from strandweave.plans.registry import query
 from strandweave.plans.sequences import BY, EV, ORDER, events
@@ -197,6 +197,47 @@ def issue_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     ])
 
 
+_RECORDED = f"""{EV}, f AS (
+  SELECT user_id AS id, 'rgb' AS stream, position AS row, CASE WHEN user_id % 5 = 0 AND position >= 7 THEN position + 1 ELSE position END AS frame_index, CASE WHEN user_id % 7 = 0 AND position = 9 THEN 0 ELSE position / 30.0 END AS t FROM ev
+  UNION ALL SELECT user_id, 'depth', position, CASE WHEN user_id % 11 = 0 AND position = 3 THEN 99 ELSE position END, CASE WHEN user_id % 13 = 0 THEN 1.0 ELSE position / 30.0 END FROM ev WHERE user_id % 3 != 0 OR position > 0
+), h AS (SELECT id, stream, row_number() OVER w - 1 AS place, frame_index, t, lag(t) OVER w AS old, row FROM f WHERE id % CASE WHEN stream = 'rgb' THEN 17 ELSE 19 END != 0 WINDOW w AS (PARTITION BY id, stream ORDER BY row)),
+k AS (SELECT id, stream, count(*) AS n, min(place) FILTER (frame_index != place) AS gap, min(place) FILTER (t <= old) AS fall, arg_max(t, row) - arg_min(t, row) AS span FROM h GROUP BY id, stream),
+s AS (SELECT DISTINCT user_id AS id FROM events), r AS (SELECT s.id, a.n, a.gap, a.fall, a.span, b.n AS dn, b.gap AS dgap, b.fall AS dfall FROM s LEFT JOIN k a ON a.id = s.id AND a.stream = 'rgb' LEFT JOIN k b ON b.id = s.id AND b.stream = 'depth')"""
+
+
+@query(f"""WITH {_RECORDED}, i AS (
+SELECT id, 'DISCOVERY_MISMATCH' AS code, CASE WHEN id % 4 = 0 THEN 'error' ELSE 'warn' END AS severity, 'imu: renamed' AS message FROM s WHERE id % 6 = 0
+UNION ALL SELECT id, 'MISSING_RGB_TIMESTAMPS', 'error', 'no RGB times; cannot align' FROM s WHERE id % 17 = 0
+UNION ALL SELECT id, 'MISSING_DEPTH_TIMESTAMPS', 'warn', 'no depth times; frames are paired one by one' FROM s WHERE id % 19 = 0
+UNION ALL SELECT id, 'RGB_FRAME_INDEX_NON_CONTIGUOUS', 'error', 'first gap at row ' || gap FROM r WHERE gap IS NOT NULL
+UNION ALL SELECT id, 'RGB_TIMESTAMPS_NON_MONOTONIC', 'error', 'first violation at row ' || fall FROM r WHERE fall IS NOT NULL
+UNION ALL SELECT id, 'DEPTH_FRAME_INDEX_NON_CONTIGUOUS', 'error', 'first gap at row ' || dgap FROM r WHERE dgap IS NOT NULL
+UNION ALL SELECT id, 'DEPTH_TIMESTAMPS_NON_MONOTONIC', 'error', 'first violation at row ' || dfall FROM r WHERE dfall IS NOT NULL
+UNION ALL SELECT id, 'RGB_FRAME_COUNT_MISMATCH', 'warn', 'declared 70, found ' || n FROM r WHERE id % 2 = 0 AND n != 70
+UNION ALL SELECT id, 'DEPTH_FRAME_COUNT_MISMATCH', 'warn', 'declared 70, found ' || dn FROM r WHERE id % 3 = 0 AND dn != 70
+UNION ALL SELECT id, 'RGB_DEPTH_FRAME_COUNT_MISMATCH', 'error', n || ' RGB and ' || dn || ' depth frames' FROM r WHERE n != dn
+UNION ALL SELECT id, 'DURATION_MISMATCH', 'warn', 'declared 2.000 s, observed ' || printf('%.3f', span + 1 / 30.0) || ' s' FROM r WHERE abs(span + 1 / 30.0 - 2) > 0.5
+UNION ALL SELECT id, 'CALIBRATION_INVALID_INTRINSICS', 'error', 'fx 0.000, fy 500.000' FROM s WHERE id % 23 = 0
+UNION ALL SELECT id, 'CALIBRATION_CROSS_CHECK', 'warn', unnest(['fx differs', 'cx differs']) FROM s WHERE id % 29 = 0
+UNION ALL SELECT id, 'CALIBRATION_NO_IMU', 'warn', 'no IMU calibration; defaults are used' FROM s WHERE id % 31 = 0)
+SELECT id AS session_id, code, severity, message FROM i""")
+def ingest_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All 14 rules over users' events as frames of two streams, some of them spoilt."""
+    rows = events(spark, sf_dir).withColumn("row", (F.row_number().over(ordered(BY, ORDER)) - 1).cast("long"))
+    id, row = F.col("user_id"), F.col("row")
+    t = row / 30.0
+    rgb = rows.select(id.alias("session_id"), F.lit("rgb").alias("stream"), "row", F.when((id % 5 == 0) & (row >= 7), row + 1).otherwise(row).alias("frame_index"), F.when((id % 7 == 0) & (row == 9), 0.0).otherwise(t).alias("t"))
+    depth = rows.where((id % 3 != 0) | (row > 0)).select(id.alias("session_id"), F.lit("depth").alias("stream"), "row", F.when((id % 11 == 0) & (row == 3), 99).otherwise(row).alias("frame_index"), F.when(id % 13 == 0, 1.0).otherwise(t).alias("t"))
+    sessions = rows.select(id.alias("session_id")).distinct()
+    s = F.col("session_id")
+    mismatches = sessions.where(s % 6 == 0).select("session_id", F.lit("imu").alias("name"), F.lit("renamed").alias("note"), F.when(s % 4 != 0, "imu2.txt").alias("actual"))
+    sessions = sessions.select(
+        "session_id", (s % 17 != 0).alias("rgb_file"), (s % 19 != 0).alias("depth_file"), F.when(s % 2 == 0, 70).alias("rgb_count"), F.when(s % 3 == 0, 70).alias("depth_count"), F.lit(2.0).alias("duration_s"),
+        F.when(s % 23 == 0, 0.0).otherwise(500.0).alias("fx"), F.lit(500.0).alias("fy"), F.when(s % 29 == 0, F.array(F.lit("fx differs"), F.lit("cx differs"))).alias("notes"), (s % 31 != 0).alias("has_imu"),
+    )
+    return ingest.issues(sessions, rgb.unionByName(depth), mismatches)
+
+
 @query("""SELECT doc_id, array_to_string(list_filter([CASE WHEN doc_id % 7 = 0 THEN 'missing_path' END, CASE WHEN n_chars < 50 THEN 'missing_file' END, CASE WHEN doc_id % 11 = 0 THEN 'invalid_timestamp' END, CASE WHEN lang IS NULL THEN 'missing_stream' END], lambda x: x IS NOT NULL), ',') AS reasons,
   NOT (doc_id % 7 = 0 OR n_chars < 50 OR doc_id % 11 = 0 OR lang IS NULL) AS valid FROM documents""")
 def manifest_validity(spark: SparkSession, sf_dir: str) -> DataFrame:

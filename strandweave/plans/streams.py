@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -14,8 +15,11 @@ from strandweave.streaming import flows
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder that all executors share: under spark.checkpoint.dir, or a temporary one where the session names none."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="strandweave-")
+    """A new folder that all executors share: under spark.checkpoint.dir; only in one process a temporary one where the session names none."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    base = base or tempfile.mkdtemp(prefix="strandweave-")
     return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
 
 
@@ -55,11 +59,13 @@ def stream_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("view_id", "click_id", F.expr("abs(unix_micros(click_ts) - unix_micros(view_ts)) div 1000000").alias("offset_s"))
 
 
-@query()
+@query("""WITH RECURSIVE e AS (SELECT user_id, ts, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, value) AS i FROM events),
+f AS (SELECT user_id, ts, value, i, value AS y FROM e WHERE i = 1 UNION ALL SELECT e.user_id, e.ts, e.value, e.i, 0.5 * e.value + 0.5 * f.y FROM f JOIN e ON e.user_id = f.user_id AND e.i = f.i + 1)
+SELECT user_id, epoch_us(ts) AS t, value, round(y + 1e-8, 6) AS smooth FROM f""")
 def stream_filter_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = flows.low_pass(events_stream(spark, sf_dir).select("user_id", "ts", "value"), "user_id", "ts", "value")
     rows = flows.collected(spark, found, shared_folder(spark))
-    return rows.select("user_id", F.unix_micros("ts").alias("t"), "value", F.round("smooth", 6).alias("smooth"))
+    return rows.select("user_id", F.unix_micros("ts").alias("t"), "value", F.round(F.col("smooth") + 1e-8, 6).alias("smooth"))
 
 
 @query("SELECT event_type, count(*) AS n, round(avg(value), 4) AS mean FROM events GROUP BY event_type")

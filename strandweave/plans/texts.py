@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strandweave.functions import text as T
-from strandweave.operators.segment import ordered
+from strandweave.operators.segment import numbered, ordered
 from strandweave.plans.registry import query
 from strandweave.sources.tables import micros, table
 
@@ -190,8 +190,8 @@ def task_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     sum over all is over ranges.
     """
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.concat(F.col("role"), F.lit(" "), (F.length("text") % 5).cast("string")).alias("task"))
-    tasks = rows.groupBy("task").agg(F.min(F.struct("conv_id", "turn")).alias("first"))
-    tasks = tasks.select("task", (F.row_number().over(Window.orderBy("first")) - 1).cast("long").alias("task_index"))
+    tasks = rows.groupBy("task").agg(F.min(F.struct("conv_id", "turn")).alias("first")).select("task", "first.*")
+    tasks = numbered(tasks, "conv_id", ["conv_id", "turn"], "task_index").select("task", "task_index")
     sizes = rows.groupBy("conv_id").agg(F.count(F.lit(1)).alias("length"), F.min_by("task", "turn").alias("task")).withColumn("cell", F.expr("conv_id div 4096"))
     before = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     cells = sizes.groupBy("cell").agg(F.sum("length").alias("s")).select("cell", F.coalesce(F.sum("s").over(before), F.lit(0)).alias("base"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strandweave.functions import rotation as R
-from strandweave.operators import geometry
+from strandweave.operators import geometry, kinematics
 from strandweave.operators.segment import ordered
 from strandweave.plans.registry import query
 from strandweave.plans.sequences import EV, BY, ORDER, events
@@ -96,15 +96,49 @@ def rpy_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def kabsch_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = vectors(spark, sf_dir).select("label", "vec_id", part(1).alias("a"), part(4).alias("b"))
-    return geometry.fit_rotations(rows, "label", "vec_id", "a", "b").select("label", *spread(F.col("r"), "r0 r1 r2 r3 r4 r5 r6 r7 r8", 4), F.round("rmse", 4).alias("rmse"))
+    rows = vectors(spark, sf_dir).select("label", part(1).alias("a"), part(4).alias("b"))
+    return geometry.fit_rotations(rows, "label", "a", "b").select("label", *spread(F.col("r"), "r0 r1 r2 r3 r4 r5 r6 r7 r8", 4), F.round("rmse", 4).alias("rmse"))
 
 
-@query()
+@query(f"""WITH {_E} SELECT label, count(*) AS n, round(sum(v[1] * v[4]), 5) AS c0, round(sum(v[1] * v[5]), 5) AS c1, round(sum(v[1] * v[6]), 5) AS c2, round(sum(v[2] * v[4]), 5) AS c3, round(sum(v[2] * v[5]), 5) AS c4,
+  round(sum(v[2] * v[6]), 5) AS c5, round(sum(v[3] * v[4]), 5) AS c6, round(sum(v[3] * v[5]), 5) AS c7, round(sum(v[3] * v[6]), 5) AS c8, round(sum(list_sum(list_transform(v[1:6], lambda x: x * x))), 5) AS spread FROM e GROUP BY label""")
+def rotation_covariance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sums from which kabsch_fit follows."""
+    rows = vectors(spark, sf_dir).select("label", part(1).alias("a"), part(4).alias("b"))
+    return geometry.covariance(rows, "label", "a", "b").select("label", "n", *spread(F.col("c"), "c0 c1 c2 c3 c4 c5 c6 c7 c8", 5), F.round("spread", 5).alias("spread"))
+
+
+@query(f"""WITH {_E}, q AS (SELECT vec_id, v[1] AS a, v[2] AS b, v[3] AS c FROM e),
+s AS (SELECT vec_id, a, b + 0.3 AS b, c, cos(c) * 0.3 AS z3, -sin(c) * 0.3 AS y3, cos(0.3) AS k FROM q)
+SELECT vec_id, round(cos(a) * (0.5 + sin(b) * (0.4 + z3)) - sin(a) * y3, 6) AS x, round(sin(a) * (0.5 + sin(b) * (0.4 + z3)) + cos(a) * y3, 6) AS y, round(cos(b) * (0.4 + z3), 6) AS z FROM s""")
+def urdf_pose(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the end of an arm of three joints, about z, y (tilted by 0.3) and x, lies for the vectors' first three numbers as angles."""
+    rows = vectors(spark, sf_dir).select("vec_id", part(1).alias("q"))
+    found = kinematics.placed(rows, "q", ARM, "end")
+    return found.select("vec_id", *spread(F.col("place"), "x y z"))
+
+
+ARM = """<robot name="arm"><link name="base"/><link name="a"/><link name="b"/><link name="c"/><link name="end"/>
+<joint name="j1" type="revolute"><parent link="base"/><child link="a"/><axis xyz="0 0 1"/><limit lower="-3" upper="3"/></joint>
+<joint name="j2" type="revolute"><origin xyz="0.5 0 0" rpy="0 0.3 0"/><parent link="a"/><child link="b"/><axis xyz="0 2 0"/><limit lower="-3" upper="3"/></joint>
+<joint name="j3" type="revolute"><origin xyz="0 0 0.4"/><parent link="b"/><child link="c"/><axis xyz="1 0 0"/><limit lower="-3" upper="3"/></joint>
+<joint name="tip" type="fixed"><origin xyz="0 0 0.3"/><parent link="c"/><child link="end"/></joint></robot>"""
+
+
+def hands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors as hands of 21 points near an open one; every seventh isn't kept."""
+    finger = F.floor((F.col("i") - 1) / 4)
+    rest = F.when(F.col("i") == 0, F.array(F.lit(0.0), F.lit(0.0), F.lit(0.0))).otherwise(F.array((finger - 2) * 0.02, F.lit(0.0), 0.06 + 0.03 * ((F.col("i") - 1) % 4)))
+    rows = vectors(spark, sf_dir).select("vec_id", "label", "v", F.explode(F.sequence(F.lit(0), F.lit(20))).alias("i"))
+    near = F.transform(rest, lambda x, k: x + 0.002 * F.get("v", (3 * F.col("i") + k) % 60))
+    return rows.groupBy("label", "vec_id").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("i", near.alias("p")))), lambda x: x["p"])).alias("points")).withColumn("kept", F.col("vec_id") % 7 != 0)
+
+
+@query("SELECT label, vec_id, vec_id % 7 = 0 AS skipped, CASE WHEN vec_id % 7 != 0 THEN true END AS within, CASE WHEN vec_id % 7 != 0 THEN true END AS near FROM embeddings")
 def fk_ik(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = vectors(spark, sf_dir).select("label", "vec_id", part(1, 2).alias("goal"), (F.col("v")[2] > 0).alias("kept"))
-    found = geometry.retarget(rows, "label", "vec_id", "goal", "kept", [0.5, 0.4, 0.3])
-    return found.select("label", "vec_id", F.isnan("error").alias("skipped"), F.round("error", 3).alias("error"))
+    """The joints of a robot's hand that follow the hands; all lie within their limits and bring the tips within 2 cm."""
+    found = kinematics.retarget(hands(spark, sf_dir), "label", "vec_id", "points", "kept", kinematics.simple_hand())
+    return found.select("label", "vec_id", F.isnull("qpos").alias("skipped"), "within", (F.array_max("error_mm") < 20).alias("near"))
 
 
 @query()
@@ -113,6 +147,15 @@ def overlay_residual(spark: SparkSession, sf_dir: str) -> DataFrame:
     return geometry.similarity_residuals(rows, "vec_id", "a", "b", 5).withColumn("residual", F.round("residual", 5))
 
 
+@query(f"""WITH {_E} SELECT vec_id, 122 AS width, vec_id % 2 = 0 AS left_kept, vec_id % 3 = 0 AS right_kept, round(v[1] + 2 * v[2], 6) AS head, round(v[61] + v[61], 6) AS betas FROM e""")
+def state_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """States of 122 numbers from both hands' places, turns, poses and shapes, with a mask."""
+    side = lambda k, n, first: F.slice("v", first + k, n)
+    parts = {f"{name}_{what}": side(k, n, first) for k, name in enumerate(("left", "right")) for what, n, first in (("wrist", 3, 1), ("orient", 3, 4), ("pose", 45, 7), ("betas", 10, 52))}
+    rows = vectors(spark, sf_dir).select("vec_id", kinematics.state(parts).alias("s"), kinematics.mask(F.col("vec_id") % 2 == 0, F.col("vec_id") % 3 == 0).alias("m"))
+    return rows.select("vec_id", F.size("s").alias("width"), F.col("m")[0].alias("left_kept"), F.col("m")[1].alias("right_kept"), F.round(F.col("s")[0] + 2 * F.col("s")[1], 6).alias("head"), F.round(F.col("s")[60] + F.col("s")[120], 6).alias("betas"))
+
+
 @query(f"""WITH {_E}, f AS (SELECT vec_id, label, unnest(range(5)) AS finger, v FROM e), g AS (SELECT finger, sqrt((v[3 * finger + 1] - v[3 * finger + 16]) ** 2 + (v[3 * finger + 2] - v[3 * finger + 17]) ** 2 + (v[3 * finger + 3] - v[3 * finger + 18]) ** 2) AS d FROM f)
 SELECT finger, round(avg(d) * 1000, 4) AS mm FROM g GROUP BY finger""")
 def fit_error_by_finger(spark: SparkSession, sf_dir: str) -> DataFrame:
