@@ -225,7 +225,8 @@ x AS (
   FROM l
 ),
 s AS (
-  SELECT DISTINCT r, conv_id, turn, level, plain AS passage FROM x WHERE plain != ''
+  SELECT DISTINCT r, conv_id, turn, level, plain AS passage FROM x WHERE len(string_split(plain, ' ')) >= 3
+  UNION SELECT r, conv_id, turn, level, plain || chr(10) || next FROM (SELECT *, lead(plain) OVER (PARTITION BY r, level ORDER BY i) AS next FROM x WHERE plain != '') WHERE next IS NOT NULL
   UNION SELECT r, conv_id, turn, level, string_agg(plain, ' ' ORDER BY i) FROM x WHERE plain != '' GROUP BY r, conv_id, turn, level
 ),
 said AS (SELECT conv_id, passage, min(turn) AS origin FROM s WHERE level = 0 AND turn IS NOT NULL GROUP BY conv_id, passage),

@@ -26,16 +26,21 @@ def lines_of(messages: DataFrame) -> DataFrame:
     )
 
 
-#: The passages of a level: each line with content, and all of them as one.
-_PASSAGES = """array_distinct(array_append(
-    transform(filter(lines, x -> x.level {0} and x.plain != ''), x -> x.plain),
-    array_join(transform(filter(lines, x -> x.level {0} and x.plain != ''), x -> x.plain), ' ')))"""
+#: A line of fewer words is a passage only with a neighbour, or if it is all that stands at its level.
+LEAST_WORDS = 3
+#: The passages of a level: its lines, each two that follow each other, and all of them as one.
+_PASSAGES = f"""transform(array(transform(filter(lines, x -> x.level {{0}} and x.plain != ''), x -> x.plain)), p -> array_distinct(concat(
+    filter(p, x -> size(split(x, ' ')) >= {LEAST_WORDS}),
+    if(size(p) > 1, transform(sequence(0, size(p) - 2), i -> concat(p[i], '\\n', p[i + 1])), array()),
+    array(array_join(p, ' ')))))[0]"""
 
 
 def link(messages: DataFrame) -> DataFrame:
     """Links of quoting messages to the messages they quote: conv_id, turn, reply_to, passages.
 
-    ``messages``: conv_id, turn, text.  A passage comes from the first earlier
+    ``messages``: conv_id, turn, text.  Passages are lines of LEAST_WORDS
+    words, pairs of lines that follow each other, so that a quoted block
+    counts for more than its lines, and all of a level.  One comes from the first earlier
     message of its conversation that says it without a quote mark.  The reply
     is to the message with the longest matched passages of the lowest quote
     level, of equals the latest.  Messages without a conversation or turn link
@@ -73,19 +78,19 @@ def link(messages: DataFrame) -> DataFrame:
     )
 
 
-def threads(links: DataFrame, rounds: int = 64) -> DataFrame:
+def threads(links: DataFrame) -> DataFrame:
     """Adds ``thread`` (the first message of the chain of replies) and ``depth`` by pointer jumping.
 
-    The number of rounds is the logarithm of the longest chain.
+    The number of rounds is the logarithm of the longest chain; turns rise
+    along it, so it ends.
     """
     at = cut(links.select("conv_id", "turn", "reply_to", "passages", F.col("reply_to").alias("thread"), F.lit(1).cast("long").alias("depth")))
-    for _ in range(rounds):
+    while True:
         up = at.select(F.col("conv_id").alias("c"), F.col("turn").alias("t"), F.col("thread").alias("up"), F.col("depth").alias("more"))
         step = at.join(up, (F.col("conv_id") == F.col("c")) & (F.col("thread") == F.col("t")), "left")
         if step.where("t is not null").isEmpty():
-            break
-        at = cut(step.select("conv_id", "turn", "reply_to", "passages", F.coalesce("up", "thread").alias("thread"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth")))
-    return at
+            return at
+        at = cut(step.select("conv_id", "turn", "reply_to", "passages", F.coalesce("up", "thread").alias("thread"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth")))
 
 
 def build(messages: DataFrame) -> DataFrame:
@@ -95,7 +100,9 @@ def build(messages: DataFrame) -> DataFrame:
     thread, turn, depth, reply_to, role, text, n_quoted_lines, n_linked.  A
     reply stands after what it replies to, since that has a lower turn.  Null
     text is empty; a message without a conversation or turn is a thread of its
-    own.  Quoted text that comes from no message stays out, too.
+    own.  Quoted text that comes from no message stays out, too.  Rows that
+    repeat a conversation and turn have the same links; an empty table gives
+    none; further columns stay out, whatever their names.
     """
     linked = threads(link(messages)).select(
         F.col("conv_id").alias("c"), F.col("turn").alias("t"), "reply_to", "thread", "depth", "passages"

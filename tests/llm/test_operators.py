@@ -380,6 +380,21 @@ def test_quotes(spark):
     assert quotes.build(df.limit(0)).count() == 0
 
 
+def test_quotes_of_blocks(spark):
+    rows = [
+        (1, 0, "user", "yes\nthe first line here\nwe meet at noon\nbring the maps along"),
+        (1, 1, "user", "the first line here\nanother one entirely"),
+        (1, 2, "user", "we meet at noon\nno\nbring the maps along"),
+        (1, 3, "user", "> we meet at noon\n> bring the maps along\nfine"),  # the block stands in the first message alone
+        (1, 4, "user", "> yes\nwhat"),  # no message says yes and nothing else
+        (1, 5, "user", "yes"),
+        (1, 6, "user", "> yes\nwell"),
+        (1, 6, "user", "> yes\nwell"),
+    ]
+    got = sorted((r.turn, -1 if r.reply_to is None else r.reply_to, r.n_linked) for r in quotes.build(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect())
+    assert got == [(0, -1, 0), (1, -1, 0), (2, -1, 0), (3, 0, 3), (4, -1, 0), (5, -1, 0), (6, 5, 1), (6, 5, 1)]
+
+
 def test_quotes_of_very_many_levels(spark):
     rows = [(1, 0, "user", ">" * 100_000 + " x"), (1, 1, "user", "\t> " * 50_000 + "\nown"), (1, 2, "user", "> " * 3 + " \t x")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
