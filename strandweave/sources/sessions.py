@@ -5,6 +5,7 @@ from __future__ import annotations
 import struct
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,8 +69,8 @@ def imu(spark: SparkSession, paths: str) -> DataFrame:
     return parts.select("session_id", number(0).alias("ts"), F.array(*map(number, (1, 2, 3))).alias("acc"), F.array(*map(number, (4, 5, 6))).alias("gyr")).where("ts is not null")
 
 
-def wav(data: bytes) -> tuple[int, list[list[float]]]:
-    """Rate, and channels per frame in [-1, 1), of PCM with 8, 16 or 32 bits."""
+def samples(data: bytes) -> tuple[int, np.ndarray]:
+    """Rate, and frames by channels in [-1, 1), of PCM with 8, 16 or 32 bits."""
     at, rate, channels, bits, body = 12, 0, 1, 16, b""
     while at + 8 <= len(data):
         name, size = data[at : at + 4], struct.unpack_from("<I", data, at + 4)[0]
@@ -78,10 +79,14 @@ def wav(data: bytes) -> tuple[int, list[list[float]]]:
         elif name == b"data":
             body = data[at + 8 : at + 8 + size]
         at += 8 + size + size % 2
-    code, scale, shift = {8: ("B", 128, 128), 16: ("h", 2**15, 0), 32: ("i", 2**31, 0)}[bits]
-    n = len(body) // (bits // 8 * channels)
-    flat = struct.unpack(f"<{n * channels}{code}", body[: n * channels * bits // 8])
-    return rate, [[(x - shift) / scale for x in flat[i * channels : (i + 1) * channels]] for i in range(n)]
+    kind, scale, shift = {8: ("u1", 2**7, 2**7), 16: ("<i2", 2**15, 0), 32: ("<i4", 2**31, 0)}[bits]
+    whole = len(body) // (bits // 8 * channels) * channels
+    return rate, ((np.frombuffer(body, kind, whole).astype(float) - shift) / scale).reshape(-1, channels)
+
+
+def wav(data: bytes) -> tuple[int, list[list[float]]]:
+    rate, frames = samples(data)
+    return rate, frames.tolist()
 
 
 def audio_energy(spark: SparkSession, paths: str, frame_s: float = 1 / 30) -> DataFrame:
@@ -93,10 +98,11 @@ def audio_energy(spark: SparkSession, paths: str, frame_s: float = 1 / 30) -> Da
     def decoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             for session, content in zip(rows.session_id, rows.content, strict=True):
-                rate, frames = wav(content)
+                rate, frames = samples(content)
                 step = max(1, round(rate * frame_s))
-                x = [f[0] for f in frames]
-                energy = [sum(v * v for v in x[i : i + step]) / len(x[i : i + step]) for i in range(0, len(x), step)]
+                x = frames[:, 0] ** 2 if frames.size else np.zeros(0)
+                starts = np.arange(0, len(x), step)
+                energy = np.add.reduceat(x, starts) / np.diff(np.r_[starts, len(x)]) if len(x) else x
                 yield pd.DataFrame({"session_id": session, "frame": range(len(energy)), "energy": energy})
 
     files = spark.read.format("binaryFile").load(paths).select(_session().alias("session_id"), "content")

@@ -8,7 +8,7 @@ import tarfile
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: What the dataset's information must hold.
@@ -75,6 +75,48 @@ def write_document(df_or_dict, path: str, spark=None) -> None:
     spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
+def write_json(document: dict, path: str) -> None:
+    """One JSON document as a file that appears whole or not at all."""
+    import os
+    import uuid
+
+    os.makedirs(os.path.dirname(os.path.abspath(path)), exist_ok=True)
+    with open(part := f"{path}.{uuid.uuid4().hex}.tmp", "w", encoding="utf-8") as f:
+        json.dump(document, f, ensure_ascii=False, indent=2, sort_keys=True)
+        f.write("\n")
+    os.replace(part, path)
+
+
+def upsert(rows: DataFrame, path: str, key: str = "key", when: str = "created_at") -> DataFrame:
+    """Adds ``rows`` to the table at ``path``, where each ``key`` has its latest row, and returns that table.
+
+    A version is a folder of its own, which counts once it is written whole;
+    readers of the one before aren't disturbed.  The one before that goes.
+    """
+    spark = rows.sparkSession
+    had = versions(spark, path)
+    old = spark.read.schema(rows.schema).parquet(f"{path}/v={had[-1]}") if had else rows.limit(0)
+    newest = Window.partitionBy(key).orderBy(F.col(when).desc_nulls_last(), F.col("_new").desc())
+    both = old.withColumn("_new", F.lit(0)).unionByName(rows.withColumn("_new", F.lit(1)))
+    now = (had[-1] if had else 0) + 1
+    both.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank", "_new").write.mode("overwrite").parquet(f"{path}/v={now}")
+    for v in had[:-1]:
+        at = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/v={v}")
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    return spark.read.schema(rows.schema).parquet(f"{path}/v={now}")
+
+
+def versions(spark, path: str) -> list[int]:
+    """The numbers of the versions at ``path`` that were written whole, in order."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(at):
+        return []
+    names = [x.getPath().getName() for x in fs.listStatus(at)]
+    done = lambda n: fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS"))
+    return sorted(int(n[2:]) for n in names if n.startswith("v=") and n[2:].isdigit() and done(n))
+
+
 def size_by_kind(spark, root: str) -> DataFrame:
     """Bytes and files under each top folder of ``root``."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "length")
