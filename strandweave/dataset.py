@@ -62,6 +62,49 @@ def write(frames: DataFrame, root: str, fps: float, robot: str = "unknown", vect
     return info
 
 
+class Writer:
+    """A dataset that is written over several calls: tasks are registered, episodes added, and ``finalize`` writes all.
+
+    Episodes are staged as they come, so that nothing waits in memory.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, fps: float, robot: str = "unknown", vectors: tuple[str, ...] = ()):
+        self.spark, self.root, self.fps, self.robot, self.vectors = spark, root.rstrip("/"), fps, robot, vectors
+        self.tasks: dict[str, int] = {}
+        self.episodes = 0
+        self.schema = None
+        self.done = False
+
+    def register_task(self, text: str) -> int:
+        """The task's index, in the order in which tasks are first named."""
+        return self.tasks.setdefault(text, len(self.tasks))
+
+    def add_episode(self, frames: DataFrame, task: str) -> int:
+        """Stages an episode's frames (frame and any more); all episodes have the same columns.  Returns its index."""
+        if self.done:
+            raise ValueError("the dataset is finished")
+        rows = frames.drop("session_id", "task")
+        if self.schema is not None and rows.schema != self.schema:
+            raise ValueError(f"episode {self.episodes} has other columns than the ones before: {rows.schema.simpleString()}")
+        self.register_task(task)
+        rows.select("*", F.lit(f"{self.episodes:09d}").alias("session_id"), F.lit(task).alias("task")).write.mode("overwrite").parquet(f"{self.root}/_staged/{self.episodes:09d}")
+        self.schema, self.episodes = rows.schema, self.episodes + 1
+        return self.episodes - 1
+
+    def finalize(self) -> dict:
+        """Writes the dataset, lets go of what was staged, and returns the information."""
+        if self.done:
+            raise ValueError("the dataset is finished")
+        if not self.episodes:
+            raise ValueError("there is no episode")
+        staged = self.spark.read.option("recursiveFileLookup", True).parquet(f"{self.root}/_staged")
+        info = write(staged, self.root, self.fps, self.robot, self.vectors)
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/_staged")
+        at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
+        self.done = True
+        return info
+
+
 def frames_of(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(f"{root}/data")
 
