@@ -1,4 +1,4 @@
-"""Commands: run, validate, info, doctor, init-config, queries, query."""
+"""Commands: run, ingest, quality-report, retarget-check, validate, info, doctor, init-config, queries, query."""
 
 from __future__ import annotations
 
@@ -59,6 +59,18 @@ def _parser() -> argparse.ArgumentParser:
     run.add_argument("--config")
     run.add_argument("--manifest")
     run.add_argument("--session", default="default")
+    take = sub.add_parser("ingest", help="check sessions and write them in normal form")
+    take.add_argument("root")
+    take.add_argument("--output")
+    take.add_argument("--config")
+    take.add_argument("--even-with-errors", action="store_true")
+    quality = sub.add_parser("quality-report", help="a report over sessions' rows")
+    quality.add_argument("rows", help="Parquet with the report's columns")
+    quality.add_argument("--output")
+    check = sub.add_parser("retarget-check", help="how well a robot follows hands")
+    check.add_argument("hands", help="Parquet: session_id, frame_index, points, kept")
+    check.add_argument("--urdf", required=True)
+    check.add_argument("--arm", help="the side to which a stand-in arm is added")
     for name in ("validate", "info"):
         sub.add_parser(name, help=f"{name} a dataset").add_argument("root")
     sub.add_parser("doctor", help="what is installed")
@@ -93,6 +105,25 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         settings = Alignment.from_file(args.config) if args.config else Alignment()
         print(json.dumps(flow.run(spark, args.input, output_root(args.output), settings, args.manifest, args.session), indent=2))
         return 0
+    if args.command == "ingest":
+        from strandweave import intake
+
+        settings = intake.Settings.from_file(args.config) if args.config else intake.Settings()
+        print(json.dumps(intake.run(spark, args.root, output_root(args.output), settings, args.even_with_errors), indent=2))
+        return 0
+    if args.command == "quality-report":
+        from strandweave import report
+
+        print(report.summary(report.write(spark.read.parquet(args.rows), output_root(args.output))))
+        return 0
+    if args.command == "retarget-check":
+        from strandweave.operators import kinematics
+
+        urdf = Path(args.urdf).read_text()
+        urdf = kinematics.with_arm(urdf, args.arm) if args.arm else urdf
+        found = kinematics.retarget(spark.read.parquet(args.hands), "session_id", "frame_index", "points", "kept", urdf)
+        kinematics.fit_report(found, "session_id").show(truncate=False)
+        return 0
     if args.command == "query":
         QUERIES[args.name](spark, args.sf_dir).show(args.rows, truncate=False)
         return 0

@@ -108,3 +108,36 @@ def test_backends(monkeypatch):
     with pytest.raises(ValueError, match="none of"):
         b.chosen("moge2")
     assert b.check("hawor_s2", {"points": [0.0] * 63, "pose": [1.0], "betas": [0.0] * 10}) == ["orient is missing", "pose has 1 numbers, not 45"]
+
+
+def test_intake(spark, tmp_path):
+    from strandweave import cli, intake
+
+    for name, frames in (("s1", 4), ("s2", 3)):
+        at = tmp_path / "in" / name
+        (at / "camera_params").mkdir(parents=True)
+        (at / "rgb_head.mp4").write_bytes(b"video")
+        items = [{"name": "rgb_head", "file": "rgb_head.mp4", "count": 4}, {"name": "imu", "file": "imu.csv"}]
+        (at / "config.json").write_text(json.dumps({"version": "1", "duration": 4 / 30, "items": items}))
+        lines = [f"{i if name == 's1' else 2 * i},{1 + i / 30:.6f}" for i in range(frames)]
+        (at / "rgb_head.csv").write_text("frame_index,timestamp_s\n" + "\n".join(lines) + "\n")
+        (at / "imu.txt").write_text("\n".join(f"{0.9 + 0.05 * i} 1 2 3 4 5 6" for i in range(8)) + "\n")
+        (at / "head_hands_sixdof.csv").write_text("t,tx,ty,tz,qx,qy,qz,qw\n" + "\n".join(f"{1 + i / 30},{i},0,0,0,0,0,1" for i in range(frames)) + "\n")
+        (at / "camera_params/head_param.json").write_text(json.dumps({"rgb_camera": {"intrinsic": {"fx": 500.0, "fy": 500.0, "ppx": 320.0, "ppy": 240.0, "width": 640, "height": 480}}}))
+        points = {f"p{k:02d}": [0.0, float(k), 1.0] for k in range(21)}
+        (at / "hands_keypoint_3d.json").write_text(json.dumps({"frames": {"1.000000": {"excluded": False, "hands": [{"is_right": True, "keypoints_3d_cam_m": points}]}, f"{1 + 1 / 30:.6f}": {"excluded": True, "hands": [{"is_right": True, "keypoints_3d_cam_m": points}]}}}))
+        (at / "task_info.json").write_text(json.dumps({"task_id": "7", "name": "pick"}))
+    out = str(tmp_path / "out")
+    report = intake.run(spark, str(tmp_path / "in"), out)
+    assert (report["sessions"], report["written"], report["frames"]) == (2, 1, 4)
+    assert report["issues"] == {"error:RGB_FRAME_INDEX_NON_CONTIGUOUS": 1, "warn:DISCOVERY_MISMATCH": 2, "warn:MISSING_DEPTH_TIMESTAMPS": 2, "warn:RGB_FRAME_COUNT_MISMATCH": 1}
+    table = lambda name: normal.read(spark, out, name)
+    assert [(r.frame_index, r.rgb_timestamp_s, r.depth_timestamp_s) for r in table("frame_index").orderBy("frame_index").collect()][3] == (3, 1.1, None)
+    assert sorted(r.tx for r in table("head_pose").collect()) == [0.0, 1.0, 2.0, 3.0]
+    assert sorted(round(r.ts, 2) for r in table("imu").collect()) == [1.0, 1.05, 1.1]
+    hand = table("hand_keypoints").collect()
+    assert len(hand) == 1 and hand[0].valid and hand[0].hand == "right" and hand[0].points[3:6] == [0.0, 1.0, 1.0]
+    assert json.loads(table("task").first().document)["name"] == "pick" and table("calibration").first().cx == 320.0
+    assert table("media").first().kind == "referenced"
+    assert cli.main(["ingest", str(tmp_path / "in"), "--output", out, "--even-with-errors"], spark) == 0
+    assert normal.frame_counts(table("frame_index")).count() == 2
