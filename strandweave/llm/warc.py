@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
 import struct
 import uuid
 from collections.abc import Iterator
@@ -175,7 +176,8 @@ def write(pages: DataFrame, date: str = "1970-01-01T00:00:00Z", least: int = LEA
     Of records with equal payloads of at least ``least`` bytes that with the
     largest page_id is a response, and so are those that share it; others are
     revisits of it.  Null html is empty.  A record without a page_id is a
-    response.  An empty table makes no bundle.
+    response.  An empty table makes no bundle.  Rows that repeat a page_id have
+    a record each; further columns stay out, whatever their names.
     """
     rows = with_kinds(pages, least)
     made = rows.mapInArrow(
@@ -191,30 +193,31 @@ def index_of(bundles: DataFrame) -> DataFrame:
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All records; frames are found through the seek table alone."""
+    """All records, each at the place that the index names, in frames that the seek table finds."""
     number = lambda x: int(v) if (v := x.removeprefix("<urn:page:").removesuffix(">")) else None
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()]
     for b in batches:
-        for name, data in zip(b.column("bundle").to_pylist(), b.column("data").to_pylist(), strict=True):
-            for frame in range(len(seek_table(data))):
-                block, at, rows = read_frame(data, frame), 0, []
-                while at < len(block):
-                    head, payload, end = parse(block, at)
-                    kind, digest = head["WARC-Type"], head["WARC-Payload-Digest"].removeprefix("sha1:")
+        for name, data, index in zip(*(b.column(c).to_pylist() for c in ("bundle", "data", "index")), strict=True):
+            for frame, own in itertools.groupby(index, key=lambda x: x["frame"]):
+                block, rows = read_frame(data, frame), []
+                for entry in own:
+                    head, payload, end = parse(block, entry["at"])
+                    kind, digest, page = head["WARC-Type"], head["WARC-Payload-Digest"].removeprefix("sha1:"), number(head["WARC-Record-ID"])
+                    if page != entry["page_id"] or end - entry["at"] != entry["length"]:
+                        raise ValueError(f"record {head['WARC-Record-ID']} in bundle {name} isn't where the index has it")
                     if kind == "response" and (base32_sha1(payload) != digest or len(payload) != int(head["X-Payload-Bytes"])):
                         raise ValueError(f"record {head['WARC-Record-ID']} in bundle {name} doesn't match its digest")
                     refers_to = number(head["WARC-Refers-To"]) if kind == "revisit" else None
-                    rows.append((number(head["WARC-Record-ID"]), int(head["X-Payload-Bytes"]), digest, kind, refers_to, payload if kind == "response" else None))
-                    at = end
-                kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()]
+                    rows.append((page, int(head["X-Payload-Bytes"]), digest, kind, refers_to, payload if kind == "response" else None))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
                     names=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"],
-                )
+                )
 
 
 def read(bundles: DataFrame) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to, payload (null for revisits) of each record in ``bundles``."""
-    return bundles.select("bundle", "data").mapInArrow(
+    return bundles.select("bundle", "data", "index").mapInArrow(
         _read,
         "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary",
     )

@@ -250,6 +250,8 @@ def test_warc(spark, tmp_path):
         assert got[r.page_id].record_type == "revisit" or block == bytes(got[r.page_id].payload)
     assert warc.export(bundles, str(tmp_path)).count() == len(held)
     assert warc.read(warc.write(df.limit(0))).count() == 0
+    more = spark.createDataFrame([(1, "u", "x", "d", 1), (1, "u", "x", "d", 1), (2, "v", "y", "d", 1)], "page_id long, url string, html string, digest string, payload int")  # repeated rows, clashing names
+    assert sorted((r.page_id, r.record_type) for r in warc.read(warc.write(more)).collect()) == [(1, "response"), (1, "response"), (2, "response")]
     import io
 
     import zstandard
@@ -258,6 +260,24 @@ def test_warc(spark, tmp_path):
     assert zstandard.ZstdDecompressor().stream_reader(io.BytesIO(data), read_across_frames=True).read().startswith(b"WARC/1.1")
 
 
+def brute_kept(text):
+    """The bands anew, byte by byte."""
+    import zstandard
+
+    data = text.encode()
+
+    def outside(part, most):
+        two, three, inner = (sum(lo <= b <= hi for b in part) for lo, hi in ((0xC2, 0xDF), (0xE0, 0xEF), (0x80, 0xBF)))
+        script = 0 if two + three < 0.3 * (len(part) - inner) else 1 if two >= three else 2
+        low = [x for at, x in quality.LEAST[script] if at <= len(part)][-1]
+        ratio = len(part) / len(zstandard.ZstdCompressor(level=3).compress(part)) if part else 0.0
+        return not low <= ratio <= most
+
+    parts = [p for p in (data[i : i + 4096] for i in range(0, len(data), 4096)) if len(p) >= 1024]
+    most = [x for at, x in quality.MOST if at <= len(data)][-1]
+    return not outside(data, most) and 4 * sum(outside(p, 7.0) for p in parts) <= len(parts)
+
+
 def test_quality(spark):
     rows = [*DOCS, (30, "a b c " * 100), (31, "x\nx\n \nx y\n"), (32, prose(4, 500)), (33, "".join(random.Random(1).choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/\xe9\xf1", k=5000)) + " " + prose(3, 60)), (34, prose(4, 200) + " " + "ab" * 50_000)]
     got = {r.doc_id: r for r in quality.scan(table(spark, rows)).collect()}
@@ -270,6 +290,7 @@ def test_quality(spark):
         r = got[i]
         if i is not None:
             assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == want
+            assert r.kept == (not r.base_failed and brute_kept(t)), i
         assert not (r.base_failed and r.kept)
     assert got[32].kept and not got[34].kept
     assert quality.keep(table(spark, rows)).count() == sum(r.kept for r in quality.scan(table(spark, rows)).collect())
@@ -291,6 +312,7 @@ def test_quality_of_noise(spark):
     rows.append((len(rows), prose(5, 4000) + " " + noise))  # a third of it
     got = {r.doc_id: r for r in quality.scan(table(spark, rows)).collect()}
     assert sorted(i for i, r in got.items() if r.kept) == [-3, -2, -1]
+    assert all(got[i].kept == brute_kept(t) for i, t in rows)
     given = quality.scan(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
     assert given.where("not base_failed").count() == given.where("kept").count() > 0
 
