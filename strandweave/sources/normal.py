@@ -5,6 +5,8 @@ Writing a session again replaces its parts; other sessions stay.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -80,11 +82,11 @@ def visible(frames: DataFrame, keypoints: DataFrame) -> DataFrame:
     return rows.select("session_id", "frame_index", F.when(F.col("told"), F.coalesce("seen", F.lit(False))).otherwise(True).alias("visible"))
 
 
-def intrinsics(calibration: DataFrame, videos: DataFrame) -> DataFrame:
+def intrinsics(calibration: DataFrame, videos: DataFrame, fov: float | None = None) -> DataFrame:
     """session_id, width, height, fx, fy, cx, cy, hfov, vfov (degrees) at the videos' (session_id, width, height) resolution.
 
-    A session without a calibration gets its video's width and height as
-    focal lengths and its middle as centre.
+    A session without a calibration gets its middle as centre, and as focal
+    lengths that of ``fov`` degrees across, else its width and height.
     """
     c = calibration.select("session_id", "fx", "fy", "cx", "cy", F.nullif("width", F.lit(0)).alias("_w"), F.nullif("height", F.lit(0)).alias("_h"))
     rows = videos.select("session_id", "width", "height").join(c, "session_id", "left")
@@ -92,7 +94,7 @@ def intrinsics(calibration: DataFrame, videos: DataFrame) -> DataFrame:
     out = {}
     for a, (size, own) in sides.items():
         ratio = F.coalesce(F.col(size) / F.col(own), F.lit(1.0))
-        out[f"f{a}"] = F.coalesce(F.col(f"f{a}"), F.col(size).cast("double")) * ratio
+        out[f"f{a}"] = F.coalesce(F.col(f"f{a}"), F.col(size).cast("double") if fov is None else F.col("width") / (2 * math.tan(math.radians(fov) / 2))) * ratio
         out[f"c{a}"] = F.coalesce(F.col(f"c{a}"), F.col(size) / 2) * ratio
     fov = lambda size, f: F.when(f != 0, F.degrees(F.atan(F.col(size) / 2 / f)) * 2).otherwise(0.0)
     return rows.select("session_id", "width", "height", *[v.alias(k) for k, v in out.items()], fov("width", out["fx"]).alias("hfov"), fov("height", out["fy"]).alias("vfov"))
@@ -113,19 +115,14 @@ def probed(text: Column) -> Column:
     return F.when(s.isNotNull(), F.struct(fps.alias("fps"), n.alias("n_frames"), F.coalesce(s["width"], F.lit(0)).alias("width"), F.coalesce(s["height"], F.lit(0)).alias("height"), duration.alias("duration_s")))
 
 
-def probe(videos: DataFrame, run=None, binary: str = "ffprobe") -> DataFrame:
-    """Adds PROBE's columns to ``videos`` (path), and ``probe_error``; ``run`` takes a path and gives the document's text.
-
-    By default ``binary`` is called on the executor that has the row; a
-    video that fails has an error and nulls.
-    """
+def _asked(videos: DataFrame, run, arguments: list[str], binary: str) -> DataFrame:
+    """Adds ``_text``, what a program says of each ``path``, and ``probe_error``."""
     import pandas as pd
 
     def call(path: str) -> str:
         import subprocess
 
-        shown = "stream=width,height,r_frame_rate,avg_frame_rate,nb_frames,duration,nb_read_frames:format=duration"
-        return subprocess.run([binary, "-v", "error", "-select_streams", "v:0", "-show_entries", shown, "-of", "json", path], check=True, capture_output=True, text=True, timeout=60).stdout
+        return subprocess.run([binary, "-v", "error", "-select_streams", "v:0", *arguments, "-of", "json", path], check=True, capture_output=True, text=True, timeout=60).stdout
 
     ask = run or call
 
@@ -142,11 +139,28 @@ def probe(videos: DataFrame, run=None, binary: str = "ffprobe") -> DataFrame:
             yield pd.DataFrame({**{c: rows[c] for c in rows}, "_text": texts, "probe_error": errors})
 
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in videos.schema)
-    found = videos.mapInPandas(asked, f"{columns}, _text string, probe_error string").withColumn("_p", probed(F.col("_text")))
+    return videos.mapInPandas(asked, f"{columns}, _text string, probe_error string")
+
+
+def probe(videos: DataFrame, run=None, binary: str = "ffprobe") -> DataFrame:
+    """Adds PROBE's columns to ``videos`` (path), and ``probe_error``; ``run`` takes a path and gives the document's text.
+
+    By default ``binary`` is called on the executor that has the row; a
+    video that fails has an error and nulls.
+    """
+    shown = ["-show_entries", "stream=width,height,r_frame_rate,avg_frame_rate,nb_frames,duration,nb_read_frames:format=duration"]
+    found = _asked(videos, run, shown, binary).withColumn("_p", probed(F.col("_text")))
     none = F.when(F.col("_p").isNull(), F.coalesce("probe_error", F.lit("no video stream")))
     return found.select(*videos.columns, "_p.*", none.alias("probe_error"))
 
 
+def key_first(videos: DataFrame, run=None, binary: str = "ffprobe") -> DataFrame:
+    """Adds ``keyframe_first``, whether a video's first packet is a key frame (null where that can't be told), and ``probe_error``."""
+    found = _asked(videos, run, ["-show_entries", "packet=flags", "-read_intervals", "%+#1"], binary)
+    flags = F.get(F.from_json("_text", "packets array<struct<flags:string>>")["packets"], F.lit(0))["flags"]
+    return found.select(*videos.columns, flags.startswith("K").alias("keyframe_first"), "probe_error")
+
+
 def materialised(media: DataFrame, folder: str, copy: bool) -> DataFrame:
     """session_id, name, kind (copied or referenced), path and bytes of ``media`` (session_id, name, path).
 

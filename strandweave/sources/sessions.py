@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import struct
 from collections.abc import Iterator
 
@@ -116,13 +117,73 @@ def key_points(spark: SparkSession, paths: str) -> DataFrame:
     return frames.select("session_id", "key", "f.excluded", "f.exclude_reason", F.posexplode_outer("f.hands").alias("pos", "hand")).select("session_id", "key", "excluded", "exclude_reason", "pos", "hand.*")
 
 
+def _scalar(text: str):
+    text = text.strip()
+    if text[:1] in "'\"" and text[-1:] == text[:1] and len(text) > 1:
+        return text[1:-1]
+    if text.startswith("["):
+        parts, level, start = [], 0, 1
+        for i, c in enumerate(text):
+            level += (c == "[") - (c == "]")
+            if (c == "," and level == 1) or (c == "]" and level == 0):
+                parts.append(text[start:i])
+                start = i + 1
+        return [_scalar(x) for x in parts if x.strip()]
+    for kind in (int, float):
+        try:
+            return kind(text)
+        except ValueError:
+            pass
+    return {"": None, "~": None, "null": None, "true": True, "false": False}.get(text.lower(), text)
+
+
+def plain_yaml(text: str):
+    """The YAML of calibration files: nested maps and lists by indentation, lists in brackets over one or more lines, plain values."""
+    rows: list[tuple[int, str]] = []
+    for line in text.splitlines():
+        body = re.sub(r"(^|\s)#.*$", "", line).rstrip()
+        if not body.strip() or body.startswith(("%", "---", "...")):
+            continue
+        if rows and rows[-1][1].count("[") > rows[-1][1].count("]"):  # a list goes on
+            rows[-1] = (rows[-1][0], f"{rows[-1][1]} {body.strip()}")
+        else:
+            rows.append((len(body) - len(body.lstrip()), body.strip()))
+
+    def block(i: int, indent: int):
+        out = [] if rows[i][1].startswith("- ") or rows[i][1] == "-" else {}
+        while i < len(rows) and rows[i][0] >= indent:
+            at, body = rows[i]
+            if isinstance(out, list):
+                if not (body == "-" or body.startswith("- ")):
+                    break
+                rest = body[1:].strip()
+                if rest and not re.match(r"[^\[\"']*:(\s|$)", rest):
+                    out.append(_scalar(rest))
+                    i += 1
+                    continue
+                rows[i] = (at + 2, rest)
+                value, i = block(i if rest else i + 1, at + 1)
+                out.append(value)
+            else:
+                key, _, rest = body.partition(":")
+                key, rest = str(_scalar(key)), re.sub(r"^!!\S+", "", rest.strip()).strip()
+                nested = i + 1 < len(rows) and (rows[i + 1][0] > at or (rows[i + 1][0] == at and rows[i + 1][1].startswith("-")))
+                if not rest and nested:
+                    out[key], i = block(i + 1, rows[i + 1][0])
+                else:
+                    out[key], i = _scalar(rest), i + 1
+        return out, i
+
+    return block(0, rows[0][0])[0] if rows else {}
+
+
 def calibration_yaml(text: str) -> dict:
-    """Cameras from a calibration file, whose %YAML line some parsers don't take; nothing if no parser is there."""
+    """Cameras from a calibration file, whose %YAML line parsers don't take; by ``plain_yaml`` where no parser is there."""
+    body = "\n".join(x for x in text.splitlines() if not x.startswith("%YAML"))
     try:
         import yaml
     except ImportError:
-        return {}
-    body = "\n".join(x for x in text.splitlines() if not x.startswith("%YAML"))
+        return plain_yaml(body) or {}
     return yaml.safe_load(body) or {}
 
 

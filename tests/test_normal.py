@@ -41,6 +41,8 @@ def test_intrinsics(spark):
     videos = spark.createDataFrame([("a", 1280, 960), ("b", 100, 50)], "session_id string, width int, height int")
     got = {r.session_id: r for r in normal.intrinsics(calibration, videos).collect()}
     assert (got["a"].fx, got["a"].fy, got["a"].cx, got["a"].cy) == (1000.0, 1020.0, 640.0, 480.0)
+    wide = {r.session_id: r for r in normal.intrinsics(calibration, videos, fov=60.0).collect()}
+    assert wide["a"].fx == 1000.0 and math.isclose(wide["b"].hfov, 60.0) and wide["b"].fx == wide["b"].fy
     assert math.isclose(got["a"].hfov, 2 * math.degrees(math.atan(640 / 1000))) and (got["b"].fx, got["b"].cy) == (100.0, 25.0)
 
 
@@ -56,6 +58,39 @@ def test_probe(spark):
     assert normal.probe(videos.limit(1), binary=sys.executable).first().probe_error.startswith("CalledProcessError")
 
 
+def test_key_first(spark):
+    texts = {"a": '{"packets": [{"flags": "K__"}]}', "b": '{"packets": [{"flags": "___"}]}', "c": '{"packets": []}'}
+    got = {r.path: (r.keyframe_first, r.probe_error) for r in normal.key_first(spark.createDataFrame([(x,) for x in "abc"], "path string"), texts.__getitem__).collect()}
+    assert got == {"a": (True, None), "b": (False, None), "c": (None, None)}
+
+
+def test_plain_yaml():
+    text = """%YAML:1.0
+---
+cam0:  # left
+  camera_model: pinhole
+  intrinsics: [461.5, 460.25,
+    367.0, 248.5]
+  T_cam_imu:
+  - [0.01, -0.99, 0.0, 1e-2]
+  - [1.0, 0.0, 0.0, 0.0]
+  resolution: [752, 480]
+imu:
+- name: a
+  rate: 200
+- name: "b: c"
+  on: true
+empty:
+last: !!opencv-matrix
+  rows: 2
+  data: [ 1, 2 ]
+"""
+    got = sessions.plain_yaml(text)
+    assert got["cam0"] == {"camera_model": "pinhole", "intrinsics": [461.5, 460.25, 367.0, 248.5], "T_cam_imu": [[0.01, -0.99, 0.0, 0.01], [1.0, 0.0, 0.0, 0.0]], "resolution": [752, 480]}
+    assert got["imu"] == [{"name": "a", "rate": 200}, {"name": "b: c", "on": True}] and got["empty"] is None and got["last"] == {"rows": 2, "data": [1, 2]}
+    assert sessions.intrinsics(got, {}) == {"fx": 461.5, "fy": 460.25, "cx": 367.0, "cy": 248.5} and sessions.plain_yaml("") == {}
+
+
 def test_media(spark, tmp_path):
     (tmp_path / "v.mp4").write_bytes(b"abc")
     media = spark.createDataFrame([("s", "rgb.mp4", str(tmp_path / "v.mp4"))], "session_id string, name string, path string")
