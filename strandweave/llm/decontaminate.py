@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandweave.llm.common import cut, row_key, small, words
+from strandweave.llm.common import cut, discard, row_key, small, words
 from strandweave.llm.positional import KEY, intersect, postings, rarest_terms, term_counts, tokenized
 
 WINDOW = 10
@@ -100,7 +100,9 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
 
     Rows with a null doc_id or text are rows like others; a null text is clean.
     """
-    found = matches(tokenized(docs), benchmark, window).where("size(spans) > 0")
-    hit = found.select(F.col("row_hash").alias("__sw_hash"), F.col("row_chars").alias("__sw_chars")).distinct()
+    tokens = tokenized(docs)
+    found = matches(tokens, benchmark, window).where("size(spans) > 0")
+    hit = cut(found.select(F.col("row_hash").alias("__sw_hash"), F.col("row_chars").alias("__sw_chars")).distinct())
+    discard(tokens)  # all that follows goes by the hits
     key, chars = row_key("doc_id", "text")
-    return docs.join(small(cut(hit)), key.eqNullSafe(F.col("__sw_hash")) & chars.eqNullSafe(F.col("__sw_chars")), "left_anti")
+    return docs.join(small(hit), key.eqNullSafe(F.col("__sw_hash")) & chars.eqNullSafe(F.col("__sw_chars")), "left_anti")
