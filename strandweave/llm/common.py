@@ -20,7 +20,7 @@ BETWEEN = WORD.replace("^", "")
 
 
 #: A table of fewer bytes is dealt out to all cores, as its file may be one row group, which is one task.
-SPREAD = 32_000_000
+SPREAD = 20_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
