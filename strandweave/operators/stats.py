@@ -21,6 +21,11 @@ def vector_stats(df: DataFrame, vector: str, by: Sequence[str] = ()) -> DataFram
     )
 
 
+def quotient(a: Column, b: Column) -> Column:
+    """``a / b`` of doubles by IEEE 754, as SQL over DuckDB gives it: an infinity over zero, NaN for zero over zero."""
+    return F.when(b == 0, a * F.pow(b, F.lit(-1.0))).otherwise(a / b)
+
+
 def entropy(df: DataFrame, label: Column, by: Sequence[str] = ()) -> DataFrame:
     """Shannon entropy in bits of the labels in each ``by``, with their number and that of distinct ones."""
     counts = df.groupBy(*by, label.alias("_label")).agg(F.count(F.lit(1)).alias("c"))

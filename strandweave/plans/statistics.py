@@ -93,7 +93,7 @@ def ingest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     span = (F.max("t") - F.min("t")) / 1e6
     bought = F.when(F.col("event_type") == "purchase", F.col("position"))
     return rows.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("frames"), F.round((F.count(F.lit(1)) - 1) / span, 9).alias("rate"), F.round(span + 1 / 30, 4).alias("duration_s"), F.count_if(F.col("event_type") == "error").alias("excluded"),
+        F.count(F.lit(1)).alias("frames"), F.round(stats.quotient(F.count(F.lit(1)) - 1, span), 9).alias("rate"), F.round(span + 1 / 30, 4).alias("duration_s"), F.count_if(F.col("event_type") == "error").alias("excluded"),
         F.count_if(F.col("event_type").isin("click", "view")).alias("active"), F.min(bought).alias("first_purchase"), F.max(bought).alias("last_purchase"),
     )
 
@@ -157,7 +157,7 @@ def loss_diagnosis(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     last, low = F.col("vl"), F.lit(1e-9)
     text = F.when(F.abs(F.col("tail0") - last) / F.greatest("tail0", low) < 0.05, "converged").when((last - F.col("train")) / F.greatest(last, low) > 0.5, "overfit").when(last > 0.15, "underfit").otherwise("healthy")
-    return found.select("user_id", F.round((F.col("v0") - last) / F.col("v0"), 4).alias("drop_ratio"), text.alias("diagnosis"))
+    return found.select("user_id", F.round(stats.quotient(F.col("v0") - last, F.col("v0")), 4).alias("drop_ratio"), text.alias("diagnosis"))
 
 
 @query("""WITH c AS (SELECT c_nationkey AS nation, avg(c_acctbal) AS a, max(c_acctbal) AS m FROM customer GROUP BY 1), s AS (SELECT s_nationkey AS nation, avg(s_acctbal) AS a, max(s_acctbal) AS m FROM supplier GROUP BY 1)
