@@ -30,21 +30,30 @@ def aligned(left: DataFrame, right: DataFrame, on: Column, within: Column, ts: t
 
 
 def low_pass(stream: DataFrame, by: str, ts: str, value: str, alpha: float = 0.5) -> DataFrame:
-    """An exponential low-pass per key, whose last value is kept as state between batches: by, ts, value, smooth."""
+    """An exponential low-pass per key, whose last value is kept as state between batches: by, ts, value, smooth.
+
+    A batch's rows of one key are put in order together, so a worker holds
+    those of one key at a time.
+    """
+    import numpy as np
     import pandas as pd
     from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
     def smooth(key: tuple, frames, state: GroupState):
         y = state.get[0] if state.exists else None
-        for rows in frames:
-            rows = rows.sort_values([ts, value], kind="stable")
-            out = []
-            for x in rows[value]:
-                y = float(x) if y is None else alpha * float(x) + (1 - alpha) * y
-                out.append(y)
-            yield pd.DataFrame({by: rows[by], ts: rows[ts], value: rows[value], "smooth": out})
+        # frames are cut wherever an Arrow batch is full, so each by itself has no order that counts
+        parts = [(rows[ts].to_numpy(), rows[value].to_numpy()) for rows in frames]
+        at, x = (np.concatenate(c) for c in zip(*parts, strict=True))
+        order = np.lexsort((x, at))
+        at, x = at[order], x[order]
+        out = np.empty(len(x))
+        for i in range(len(x)):
+            y = out[i] = float(x[i]) if y is None else alpha * float(x[i]) + (1 - alpha) * y
         if y is not None:
-            state.update((y,))
+            state.update((float(y),))
+        for start in range(0, len(x), 10_000):
+            some = slice(start, start + 10_000)
+            yield pd.DataFrame({by: key[0], ts: at[some], value: x[some], "smooth": out[some]})
 
     kind = stream.schema[by].dataType.simpleString()
     return stream.groupBy(by).applyInPandasWithState(
