@@ -68,6 +68,15 @@ def last_before(df: DataFrame, value: Column, by: Sequence[str], order: Sequence
     return F.last(value, ignorenulls=True).over(w)
 
 
+def looked_up(df: DataFrame, entries: DataFrame, key: str, at: str, spread: str) -> DataFrame:
+    """Each row with the ``entries`` whose ``at`` is its ``key``, if any.
+
+    Rows without a key, which match nothing, are dealt out by ``spread``; by
+    the key alone they would all go to one task.
+    """
+    return df.join(entries, (F.col(key) == F.col(at)) & (F.coalesce(key, spread) == F.col(at)), "left")
+
+
 def positional(left: DataFrame, right: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Pairs the i-th row of each side within ``by``; rows of the right side beyond the left's number go."""
     number = F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1

@@ -89,18 +89,23 @@ c AS (
 )"""
 
 
+def matched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Aligned rows with the metadata's score and the label of the record they are matched with."""
+    own = F.get_json_object("props", "$.k").try_cast("double") / 100
+    meta = records(spark, sf_dir).select(
+        F.col("path").alias("p"), own.alias("own"), F.when(F.col("value") > 50, F.col("stream")).alias("label")
+    )
+    return align.looked_up(aligned(spark, sf_dir), meta, "path", "p", "anchor_path")
+
+
 def confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Samples with a label (of the first stream by name that has one) and a confidence.
 
     Confidence is the least of completeness, 1 less the largest offset in
     units of 100 ms, and the metadata's score.
     """
-    own = F.get_json_object("props", "$.k").try_cast("double") / 100
-    meta = records(spark, sf_dir).select(
-        F.col("path").alias("p"), own.alias("own"), F.when(F.col("value") > 50, F.col("stream")).alias("label")
-    )
     n, missing = F.count("path"), F.count(F.lit(1)) - F.count("path")
-    found = aligned(spark, sf_dir).join(meta, F.col("path") == F.col("p"), "left").groupBy("session_id", "timestamp_ns", "anchor_path").agg(
+    found = matched(spark, sf_dir).groupBy("session_id", "timestamp_ns", "anchor_path").agg(
         n.alias("n"),
         missing.alias("missing"),
         F.coalesce(F.max("delta_ms"), F.lit(0.0)).alias("worst"),
